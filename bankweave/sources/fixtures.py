@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankweave.functions import decide, hash_score, money
@@ -150,33 +150,41 @@ VARIANTS = 40
 def messages_of(rows: DataFrame) -> DataFrame:
     """Transactions as raw JSON text, with every kind of faulty message among them."""
     num = F.substr("transaction_id", F.lit(2)).cast("bigint")
-    v = num % VARIANTS
-    time = F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-
-    def body(**changes):
-        fields = {c: F.col(c) for c in TX_COLUMNS if c not in {"processing_timestamp", "transaction_timestamp", "fraud_score"}}
-        fields["transaction_timestamp"] = time
-        fields.update(changes)
-        return F.to_json(F.struct(*[e.alias(c) for c, e in fields.items() if e is not None]))
-
-    def inject(fragment: str, **changes):
-        return F.concat(F.lit("{" + fragment + ","), F.substr(body(**changes), F.lit(2)))
-
-    no = {"amount": None}
-    variants = [
-        body(currency=None), body(amount=None, currency=None, channel=None),
-        body(bank_entity=F.lit("bank-99"), channel=F.lit("FAX")), body(amount=F.lit(0)), body(amount=F.lit(-5)),
-        body(amount=F.col("amount").cast("string")), body(amount=F.lit("abc")), inject('"amount":null', **no),
-        body(amount=F.lit("NaN")), body(amount=F.lit(True)), body(bank_entity=F.array("bank_entity")),
-        F.concat(F.lit("not json "), "transaction_id"), F.concat(F.lit("["), num.cast("string"), F.lit("]")), F.lit(""), F.lit("{}"),
-        body(transaction_id=None), inject('"transaction_id":null', transaction_id=None), body(transaction_timestamp=None),
-        body(amount=F.lit("1e3")), body(amount=F.lit("12.5f")), body(amount=F.struct(F.lit(1).alias("x"))),
-        body(teller=F.col("branch_id"), note=F.lit("x")),
+    v = F.col("_v")
+    stable = ["customer_id", "transaction_type", "source_account", "destination_account", "destination_bank", "status",
+              "latitude", "longitude", "device_id", "branch_id", "is_fraud"]
+
+    def member(key: str, value) -> Column:
+        """``"key":value`` for a value that already is JSON text; NULL drops the member."""
+        return F.concat(F.lit(f'"{key}":'), value)
+
+    def quoted(c) -> Column:
+        return F.concat(F.lit('"'), F.col(c) if isinstance(c, str) else c, F.lit('"'))
+
+    def swap(value: Column, changes: dict) -> Column:
+        for number, other in changes.items():
+            value = F.when(v == number, other).otherwise(value)
+        return value
+
+    number = F.col("amount").cast("string")
+    amount = swap(number, {
+        1: F.lit(None), 3: F.lit("0"), 4: F.lit("-5"), 5: quoted(number), 6: F.lit('"abc"'), 7: F.lit("null"), 8: F.lit('"NaN"'),
+        9: F.lit("true"), 18: F.lit('"1e3"'), 19: F.lit('"12.5f"'), 20: F.lit('{"x":1}')})
+    bank = swap(quoted("bank_entity"), {2: F.lit('"bank-99"'), 10: F.concat(F.lit("["), quoted("bank_entity"), F.lit("]"))})
+    time = quoted(F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    members = [
+        F.expr("substr(_stable, 2, length(_stable) - 2)"), member("bank_entity", bank), member("amount", amount),
+        member("currency", F.when(~v.isin(0, 1), quoted("currency"))),
+        member("channel", swap(quoted("channel"), {1: F.lit(None), 2: F.lit('"FAX"')})),
+        member("transaction_id", swap(quoted("transaction_id"), {15: F.lit(None), 16: F.lit("null")})),
+        member("transaction_timestamp", F.when(v != 17, time)),
+        F.when(v == 21, member("teller", quoted("branch_id"))), F.when(v == 21, F.lit('"note":"x"')),
     ]
-    raw = body()
-    for number, text in enumerate(variants):
-        raw = F.when(v == number, text).otherwise(raw)
-    return rows.select(num.alias("event_id"), F.to_date("transaction_timestamp").alias("arrival_date"), raw.alias("raw"))
+    whole = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    raw = swap(whole, {11: F.concat(F.lit("not json "), F.col("transaction_id")), 12: F.concat(F.lit("["), number, F.lit("]")),
+                       13: F.lit(""), 14: F.lit("{}")})
+    return rows.withColumn("_v", num % VARIANTS).withColumn("_stable", F.to_json(F.struct(*stable))).select(
+        num.alias("event_id"), F.to_date("transaction_timestamp").alias("arrival_date"), raw.alias("raw"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

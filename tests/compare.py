@@ -59,7 +59,7 @@ def main() -> None:
     from bankweave.session import build_session
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, checks = duck(sf_dir), entry.queries(), entry.oracle_sql()
     bad = 0
