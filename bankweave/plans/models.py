@@ -1 +1,68 @@
-"""Registered queries."""
+"""Registered queries around the fraud model.  It is fitted once per session and table set, saved and reloaded."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
+
+from bankweave.operators import aggregates as A
+from bankweave.operators import predict as P
+from bankweave.operators import tables as K
+from bankweave.plans.registry import query
+from bankweave.plans.streams import tx_stream
+from bankweave.session import new_folder
+from bankweave.sources import fixtures as fx
+from bankweave.streaming import flows
+
+_FITTED: dict[tuple[str, str], tuple[str, float, dict]] = {}
+
+
+def fitted(spark, sf) -> tuple[PipelineModel, float, dict]:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        model, auc, counts = P.train_fraud_model(fx.tx(spark, sf))
+        _FITTED[key] = (K.save_model(model, new_folder(spark, "lake"), fx.AS_OF), auc, counts)
+    path, auc, counts = _FITTED[key]
+    return PipelineModel.load(path), auc, counts
+
+
+@query("m2_m3_feature_vectors")
+def m2(spark, sf):
+    rows = P.fraud_features(fx.tx(spark, sf))
+    out = Pipeline(stages=P.feature_stages()).fit(rows).transform(rows)
+    return out.select("transaction_id", *P.CATEGORIES.values(), F.col("features").cast("string").alias("features"))
+
+
+@query("m4_m6_k12_fraud_model")
+def m4(spark, sf):
+    model, auc, counts = fitted(spark, sf)
+    return spark.createDataFrame(
+        [(len(model.stages), float(auc), counts["train"], counts["test"])], "stages int, auc double, train_rows bigint, test_rows bigint")
+
+
+@query("m5_split")
+def m5(spark, sf):
+    train, test = P.split(P.fraud_features(fx.tx(spark, sf)))
+    return train.agg(F.lit("train").alias("part"), F.count(F.lit(1)).alias("n")).unionByName(
+        test.agg(F.lit("test").alias("part"), F.count(F.lit(1)).alias("n")))
+
+
+@query("m7_importances")
+def m7(spark, sf):
+    return P.importances(fitted(spark, sf)[0], fx.tx(spark, sf))
+
+
+@query("m8_model_scores")
+def m8(spark, sf):
+    return P.model_scores(fitted(spark, sf)[0], fx.tx(spark, sf)).select("transaction_id", "is_fraud", "fraud_score", "status")
+
+
+@query("m9_regression_forecast")
+def m9(spark, sf):
+    return P.regression_forecast(A.daily_liquidity(fx.tx(spark, sf)), "2024-01-30", 7, fx.HOLIDAYS)
+
+
+@query("r14_model_stream")
+def r14(spark, sf):
+    scored = flows.model_stream(tx_stream(spark, sf), fitted(spark, sf)[0])
+    return flows.run_to_table(scored.select("transaction_id", "is_fraud", "fraud_score", "status"), "model-scores")

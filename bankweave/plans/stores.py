@@ -126,15 +126,14 @@ def k14_kpis(spark, sf):
     return hours.groupBy(F.col("window_hour").cast("string").alias("window_hour"), "kpi_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("k15_expire", sql("li", """
-    SELECT d AS tx_date, CASE WHEN d < DATE '2000-07-01' - 365 THEN 'COLD' ELSE 'STANDARD' END AS tier, count(*) AS n FROM li
-    WHERE d >= DATE '2000-07-01' - 730 GROUP BY ALL"""))
+@query("k15_expire", sql("tx", """
+    SELECT d AS tx_date, CASE WHEN d < DATE '2024-01-24' THEN 'COLD' ELSE 'STANDARD' END AS tier, count(*) AS n FROM tx
+    WHERE d >= DATE '2024-01-17' GROUP BY ALL"""))
 def k15(spark, sf):
     path = new_folder(spark, "retention")
-    # Month folders would do for retention, but the table is kept by day, as written elsewhere.
-    K.write_transactions(fx.tx_lineitem(spark, sf), path)
-    K.expire(spark, path, "2000-07-01", 730)
-    return K.tier(spark.read.parquet(path), "2000-07-01").groupBy("tx_date", "tier").agg(F.count(F.lit(1)).alias("n"))
+    K.write_transactions(fx.tx(spark, sf), path)
+    K.expire(spark, path, fx.AS_OF, days=14)
+    return K.tier(spark.read.parquet(path), fx.AS_OF, cold_days=7).groupBy("tx_date", "tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k16_erase_customers", sql("tx prof", """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankweave.functions import decide, hash_score, money
+from bankweave.session import new_folder, path_exists
 from bankweave.sources.generate import calendar_of
 
 AS_OF = "2024-01-31 00:00:00"
@@ -187,8 +188,18 @@ def messages_of(rows: DataFrame) -> DataFrame:
         num.alias("event_id"), F.to_date("transaction_timestamp").alias("arrival_date"), raw.alias("raw"))
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages_of(all_tx(spark, sf_dir))
+    """Raw messages as they arrive: files of text, written once per session from the events table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    schema = "event_id bigint, arrival_date date, raw string"
+    if key not in _STAGED or not path_exists(spark, _STAGED[key]):
+        path = new_folder(spark, "messages")
+        messages_of(all_tx(spark, sf_dir)).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.schema(schema).parquet(_STAGED[key])
 
 
 def lots(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:
