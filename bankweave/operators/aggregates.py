@@ -182,16 +182,21 @@ def branch_heat_map(tx: DataFrame) -> DataFrame:
 
 
 def regulator_totals(tx: DataFrame) -> DataFrame:
-    """Per bank and for the whole network."""
-    return tx.rollup("bank_entity").agg(
-        F.grouping("bank_entity").cast("int").alias("is_network"), _n().alias("total_transactions"),
-        total("amount").alias("total_amount"), F.count_if(_is("BLOCKED")).alias("blocked_count"),
+    """Per bank and for the whole network.  Rows are merged per bank before they are expanded."""
+    per_bank = tx.groupBy("bank_entity").agg(
+        _n().alias("n"), F.sum(money("amount")).alias("cents"), F.count_if(_is("BLOCKED")).alias("b"))
+    return per_bank.rollup("bank_entity").agg(
+        F.grouping("bank_entity").cast("int").alias("is_network"), F.sum("n").alias("total_transactions"),
+        F.sum("cents").cast("double").alias("total_amount"), F.sum("b").alias("blocked_count"),
     ).withColumn("bank_entity", F.when(F.col("is_network") == 1, "ALL").otherwise(F.col("bank_entity")))
 
 
 def channel_type_cube(tx: DataFrame) -> DataFrame:
-    return tx.cube("channel", "transaction_type").agg(
-        F.grouping_id().cast("int").alias("level"), _n().alias("total_transactions"), total("amount").alias("total_amount"))
+    """Channel by type, with all subtotals.  Rows are merged to the finest level before they are expanded."""
+    finest = tx.groupBy("channel", "transaction_type").agg(_n().alias("n"), F.sum(money("amount")).alias("cents"))
+    return finest.cube("channel", "transaction_type").agg(
+        F.grouping_id().cast("int").alias("level"), F.sum("n").alias("total_transactions"),
+        F.sum("cents").cast("double").alias("total_amount"))
 
 
 def reconcile(closes: DataFrame, tx: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bankweave.functions import days_before, epoch_slot, hours_before, money, ratio, ts_lit
 from bankweave.operators.scale import latest_by
-from bankweave.sources.files import by_bank
+from bankweave.sources.files import by_bank, since_days
 
 
 def day_over_day(trends: DataFrame) -> DataFrame:
@@ -154,7 +154,6 @@ def fx_page(ticks: DataFrame, limit: int = 100) -> DataFrame:
 
 def top_customers(tx: DataFrame, as_of, days: int = 7, limit: int = 20) -> DataFrame:
     """Customers with the greatest accumulated score of the last days."""
-    recent = tx.filter(F.col("transaction_timestamp") >= days_before(ts_lit(as_of), days))
-    return recent.groupBy("customer_id").agg(
+    return since_days(tx, as_of, days).groupBy("customer_id").agg(
         F.sum(F.col("fraud_score").cast("decimal(18,6)")).cast("double").alias("score_sum"), F.count(F.lit(1)).alias("n"),
     ).orderBy(F.desc("score_sum"), "customer_id").limit(limit)

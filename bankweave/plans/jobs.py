@@ -2,28 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from bankweave.operators import aggregates, predict, tables, windows
+from bankweave.functions import ts_lit
+from bankweave.operators import aggregates, predict, tables, validate, windows
+from bankweave.operators.scale import latest_by
+from bankweave.session import stage
 from bankweave.sources import files
 from bankweave.streaming import flows
 
 
 def daily_batch(spark: SparkSession, history: str, out: str, as_of, lookback_days: int = 90, train: bool = True, **gbt) -> dict:
-    """Load the look-back window once, then write trends, liquidity, model and branch volumes."""
-    tx, incomplete = files.read_history(spark, history)
-    tx = files.lookback(tx, as_of, lookback_days).persist()
-    try:
-        result = {"loaded": tx.count(), "incomplete": incomplete.count()}
-        tables.write_partitioned(aggregates.movement_trends(tx), f"{out}/movement_trends", ["date"], "overwrite")
-        tables.append_liquidity(aggregates.daily_liquidity(tx), f"{out}/liquidity_forecast", as_of)
-        if train:
-            model, auc, counts = predict.train_fraud_model(tx, **gbt)
-            result |= {"auc": auc, "model": tables.save_model(model, out, as_of), **counts}
-        tables.append_branches(aggregates.branch_volume(tx), f"{out}/branch_volume_metrics")
-        return result
-    finally:
-        tx.unpersist()
+    """Load the look-back window once, then write trends, liquidity, model and branch volumes.
+
+    The window is staged as Parquet in the shared folder: each step then reads only its own
+    columns, nothing has to fit in memory, and a lost executor costs no second CSV pass.
+    """
+    seen = Observation("history")
+    flagged = files.read_history_flagged(spark, history).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.size("gaps") > 0).alias("incomplete"))
+    tx = stage(files.lookback(flagged.filter(F.size("gaps") == 0).drop("gaps"), as_of, lookback_days), "window")
+    result = {**seen.get, "loaded": tx.count()}
+    tables.write_partitioned(aggregates.movement_trends(tx), f"{out}/movement_trends", ["date"], "overwrite")
+    tables.append_liquidity(aggregates.daily_liquidity(tx), f"{out}/liquidity_forecast", as_of)
+    if train:
+        model, auc, counts = predict.train_fraud_model(tx, **gbt)
+        result |= {"auc": auc, "model": tables.save_model(model, out, as_of), **counts}
+    tables.append_branches(aggregates.branch_volume(tx), f"{out}/branch_volume_metrics")
+    return result
+
+
+def retry_quarantine(spark: SparkSession, quarantine: str, table: str, as_of, banks: list[str] | None = None) -> None:
+    """Try every due message again: what passes now is stored, what fails gets its next attempt.
+
+    The quarantine is append-only.  A message stands where its latest attempt left it, and one
+    with no errors left is closed.
+    """
+    log = spark.read.parquet(quarantine).drop("failed_day")
+    keyed = log.withColumn("message_id", F.sha2("raw", 256))
+    standing = latest_by(keyed, ["message_id"], ["attempt"]).filter(F.size("errors") > 0).drop("message_id")
+    tried = stage(validate.validate(validate.parse(validate.due(standing, as_of).select("raw", "attempt")), banks), "retry")
+    tables.append_new(validate.score(validate.typed(validate.accepted(tried), ts_lit(as_of))).drop("raw", "attempt"), table)
+    after = tried.select("raw", "errors", (F.col("attempt") + 1).alias("attempt"), ts_lit(as_of).alias("failed_at"))
+    tables.append_quarantine(after, quarantine)
 
 
 def message_stream(spark: SparkSession, source: str, root: str, sinks=flows.SINKS, banks: list[str] | None = None,

@@ -26,7 +26,13 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions(input_bytes: int, target: int = 128 << 20, least: int = 200, most: int = 50_000) -> int:
+    """Shuffle partitions for a job over ``input_bytes``; adaptive execution merges the small ones."""
+    return max(least, min(most, -(-input_bytes // target)))
+
+
 def build_session(master: str | None = None, app: str = "bankweave", **extra: str) -> SparkSession:
+    """Session with the settings above; give ``spark.sql.shuffle.partitions`` by ``shuffle_partitions``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bankweave import schemas as S
-from bankweave.functions import days_before, ts_lit
+from bankweave.functions import days_before, hours_before, ts_lit
 from bankweave.operators.validate import required_gaps
 
 
-def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Typed CSV history: (complete rows, rows lacking a required value).
+def read_history_flagged(spark: SparkSession, path: str) -> DataFrame:
+    """Typed CSV history with ``gaps``, the required values a row lacks.
 
-    The CSV reader turns unreadable values into NULL and ignores NOT NULL, hence the split.
+    The CSV reader turns unreadable values into NULL and ignores NOT NULL, hence the explicit check.
     """
-    df = spark.read.schema(S.HISTORY).option("header", True).csv(path).withColumn("gaps", required_gaps(S.HISTORY))
+    return spark.read.schema(S.HISTORY).option("header", True).csv(path).withColumn("gaps", required_gaps(S.HISTORY))
+
+
+def read_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(complete rows, rows lacking a required value)."""
+    df = read_history_flagged(spark, path)
     return df.filter(F.size("gaps") == 0).drop("gaps"), df.filter(F.size("gaps") > 0)
 
 
-def lookback(df: DataFrame, as_of, days: int = 90, ts: str = "transaction_timestamp", date_col: str | None = None) -> DataFrame:
-    """Rows of the last ``days`` days; a date partition column, if there is one, prunes folders too."""
-    start = days_before(ts_lit(as_of), days)
-    if date_col is None and "tx_date" in df.columns:
-        date_col = "tx_date"
-    if date_col:
-        df = df.filter(F.col(date_col) >= F.to_date(start))
-    return df.filter(F.col(ts) >= start)
+def lookback(df: DataFrame, as_of, days: int = 90, ts: str = "transaction_timestamp") -> DataFrame:
+    """Rows of the last ``days`` days; on a stored table the date folders are pruned as well."""
+    return since_days(df, as_of, days, ts)
 
 
 def read_stream(
@@ -154,12 +154,25 @@ def by_channel(df: DataFrame, channels: list[str] | None = None) -> DataFrame:
     return df.filter(F.col("channel").isin(*channels)) if channels else df
 
 
+def _from(df: DataFrame, start: Column) -> DataFrame:
+    """Also limit the date partition column of a stored table, so that older folders are not read."""
+    return df.filter(F.col("tx_date") >= F.to_date(start)) if "tx_date" in df.columns else df
+
+
 def on_day(df: DataFrame, day, ts: str = "transaction_timestamp") -> DataFrame:
     """Rows of one calendar day, as a range on the raw column so that it reaches the scan."""
-    start = F.lit(str(day)).cast("date").cast("timestamp")
+    date = F.lit(str(day)).cast("date")
+    if "tx_date" in df.columns:
+        df = df.filter(F.col("tx_date") == date)
+    start = date.cast("timestamp")
     return df.filter((F.col(ts) >= start) & (F.col(ts) < start + F.make_dt_interval(F.lit(1))))
 
 
-def since_hours(df: DataFrame, as_of, hours: int, ts: Column | str) -> DataFrame:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return df.filter(ts >= ts_lit(as_of) - F.make_dt_interval(F.lit(0), F.lit(hours)))
+def since_hours(df: DataFrame, as_of, hours: int, ts: str = "transaction_timestamp") -> DataFrame:
+    start = hours_before(ts_lit(as_of), hours)
+    return _from(df, start).filter(F.col(ts) >= start)
+
+
+def since_days(df: DataFrame, as_of, days: int, ts: str = "transaction_timestamp") -> DataFrame:
+    start = days_before(ts_lit(as_of), days)
+    return _from(df, start).filter(F.col(ts) >= start)
