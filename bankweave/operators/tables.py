@@ -99,8 +99,8 @@ def append_new(df: DataFrame, path: str, key: str = "transaction_id", ts: str =
     if path_exists(spark, path):
         lo, hi = df.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
         if lo is not None:
-            target = spark.read.parquet(path).filter(F.col("tx_date").between(F.lit(lo), F.lit(hi)))
-            fresh = fresh.join(target.select("tx_date", key), ["tx_date", key], "left_anti")
+            held = spark.read.schema(fresh.select("tx_date", key).schema).parquet(path)
+            fresh = fresh.join(held.filter(F.col("tx_date").between(F.lit(lo), F.lit(hi))), ["tx_date", key], "left_anti")
     write_partitioned(fresh, path, ["tx_date"], "append", [c for c in CLUSTER if c in df.columns])
 
 
