@@ -62,29 +62,23 @@ def run_id(moment: datetime | str) -> str:
     return moment.strftime("%Y%m%d_%H%M%S")
 
 
-def hash_score(c: Column | str) -> Column:
-    """md5 of the id, read as a 128-bit number, modulo 100, over 100.
+def hash_score(column: str) -> Column:
+    """md5 of an id column, read as a 128-bit number, modulo 100, over 100.
 
-    The number does not fit a long, so the remainder is carried over four 32-bit
-    pieces of the digest (2**32 mod 100 is 96).
+    Each half of the digest is an unsigned 64-bit number, whose last two decimal digits are its
+    remainder; 2**64 mod 100 is 16, so the upper half counts 16 times.
     """
-    digest = F.md5(as_col(c).cast("binary"))
-    rest = F.lit(0).cast("bigint")
-    for piece in range(4):
-        chunk = F.conv(F.substring(digest, 1 + 8 * piece, 8), 16, 10).cast("bigint")
-        rest = (rest * 96 + chunk % 100) % 100
-    return rest.cast("double") / F.lit(100.0)
-
-
-def decide(score: Column | str) -> Column:
-    """Status for a score; a missing score means scoring failed and waits for review."""
-    score = as_col(score)
-    return (
-        F.when(score.isNull(), "PENDING")
-        .when(score > BLOCK_ABOVE, "BLOCKED")
-        .when(score > REVIEW_ABOVE, "PENDING")
-        .otherwise("APPROVED")
-    )
+    def last_two(start: int) -> str:
+        return f"cast(substr(conv(substr(md5(cast({column} AS binary)), {start}, 16), 16, 10), -2) AS int)"
+
+    return F.expr(f"cast(({last_two(1)} * 16 + {last_two(17)}) % 100 AS double) / 100.0D")
+
+
+def decide(score: str) -> Column:
+    """Status for a score column; a missing score means scoring failed and waits for review."""
+    return F.expr(
+        f"CASE WHEN {score} IS NULL THEN 'PENDING' WHEN {score} > {BLOCK_ABOVE}D THEN 'BLOCKED' "
+        f"WHEN {score} > {REVIEW_ABOVE}D THEN 'PENDING' ELSE 'APPROVED' END")
 
 
 def is_weekend(c: Column | str) -> Column:

@@ -110,8 +110,11 @@ def fan_out(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def subscription(spark: SparkSession, path: str, bank: str) -> DataFrame:
-    """What one bank receives: a partition filter, so other banks' folders are not listed into the scan."""
-    return spark.read.parquet(path).filter(F.col("bank_entity") == bank)
+    """What one bank receives.  Only its own folders are listed and read."""
+    own = f"{path}/bank_entity={bank}"
+    if not path_exists(spark, own):
+        return spark.read.parquet(path).filter(F.col("bank_entity") == bank)
+    return spark.read.option("basePath", path).parquet(own)
 
 
 def enqueue(df: DataFrame, path: str, arrived_at) -> None:

@@ -141,9 +141,8 @@ def sql(uses: str, body: str) -> str:
 
 def plain(df: DataFrame) -> DataFrame:
     """Timestamps without zone, so that a result reads the same wherever it is collected."""
-    return df.select(*[
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-        for f in df.schema.fields])
+    zoned = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned}) if zoned else df
 
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:

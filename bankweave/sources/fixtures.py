@@ -32,34 +32,29 @@ def _pick(index, options: list[str]):
     return expr.otherwise(options[-1])
 
 
-def _bank(k):
-    return F.concat(F.lit("bank-"), F.lpad((k % 12).cast("string"), 2, "0"))
-
-
 def from_events(ev: DataFrame) -> DataFrame:
     """All events as transactions; ``error`` events get a type that validation rejects."""
-    i, k, app = F.col("event_id"), F.get_json_object("props", "$.k").cast("int"), F.col("event_id") % 4 == 0
-    ts = F.col("ts").cast("timestamp")
-    kinds = {"click": "TRANSFER", "view": "PAYMENT", "purchase": "WITHDRAWAL", "signup": "DEPOSIT"}
-    kind = F.lit("ERROR")
-    for event, name in kinds.items():
-        kind = F.when(F.col("event_type") == event, name).otherwise(kind)
-    account = F.lpad(F.col("user_id").cast("string"), 8, "0")
-    df = ev.select(
-        F.concat(F.lit("T"), i.cast("string")).alias("transaction_id"), _bank(k).alias("bank_entity"),
-        F.concat(F.lit("CLI-"), F.col("user_id").cast("string")).alias("customer_id"), kind.alias("transaction_type"),
-        F.col("value").alias("amount"), _pick(i % 3, ["DLD", "USD", "EUR"]).alias("currency"),
-        F.concat(F.lit("BAN-"), account).alias("source_account"),
-        F.concat(F.lit("BAN-"), F.lpad((i % 100000000).cast("string"), 8, "0")).alias("destination_account"),
-        _bank(k + 5).alias("destination_bank"),
-        _pick(i % 4, ["APP", "ATM", "BRANCH", "CORRESPONDENT"]).alias("channel"),
-        (F.lit(4.5) + (i % 6500).cast("double") / 1000.0).alias("latitude"),
-        (F.lit(-75.0) + (i % 8000).cast("double") / 1000.0).alias("longitude"),
-        F.when(app, F.concat(F.lit("DEV-"), F.col("user_id").cast("string"))).alias("device_id"),
-        ts.alias("transaction_timestamp"),
-        F.timestamp_micros(F.unix_micros(ts) + (i % 500) * 1000).alias("processing_timestamp"),
-        F.when(~app, F.concat(F.lit("SUC-"), F.lpad((F.col("user_id") % 50).cast("string"), 3, "0"))).alias("branch_id"),
-        F.when(app & (F.col("value") >= 60), 1).otherwise(0).alias("is_fraud"),
+    k = "cast(get_json_object(props, '$.k') AS int)"
+    app = "event_id % 4 = 0"
+    df = ev.selectExpr(
+        "'T' || event_id AS transaction_id",
+        f"'bank-' || lpad({k} % 12, 2, '0') AS bank_entity",
+        "'CLI-' || user_id AS customer_id",
+        "CASE event_type WHEN 'click' THEN 'TRANSFER' WHEN 'view' THEN 'PAYMENT' WHEN 'purchase' THEN 'WITHDRAWAL' "
+        "WHEN 'signup' THEN 'DEPOSIT' ELSE 'ERROR' END AS transaction_type",
+        "value AS amount",
+        "CASE event_id % 3 WHEN 0 THEN 'DLD' WHEN 1 THEN 'USD' ELSE 'EUR' END AS currency",
+        "'BAN-' || lpad(user_id, 8, '0') AS source_account",
+        "'BAN-' || lpad(event_id % 100000000, 8, '0') AS destination_account",
+        f"'bank-' || lpad(({k} + 5) % 12, 2, '0') AS destination_bank",
+        "CASE event_id % 4 WHEN 0 THEN 'APP' WHEN 1 THEN 'ATM' WHEN 2 THEN 'BRANCH' ELSE 'CORRESPONDENT' END AS channel",
+        "4.5D + cast(event_id % 6500 AS double) / 1000.0D AS latitude",
+        "-75.0D + cast(event_id % 8000 AS double) / 1000.0D AS longitude",
+        f"CASE WHEN {app} THEN 'DEV-' || user_id END AS device_id",
+        "cast(ts AS timestamp) AS transaction_timestamp",
+        "timestamp_micros(unix_micros(cast(ts AS timestamp)) + event_id % 500 * 1000) AS processing_timestamp",
+        f"CASE WHEN {app} THEN NULL ELSE 'SUC-' || lpad(user_id % 50, 3, '0') END AS branch_id",
+        f"CASE WHEN {app} AND value >= 60 THEN 1 ELSE 0 END AS is_fraud",
     )
     scored = df.withColumn("fraud_score", hash_score("transaction_id"))
     return scored.withColumn("status", decide("fraud_score")).select(*TX_COLUMNS)
@@ -76,18 +71,15 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tx_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as transactions of several years, for reports that need long history."""
-    li = table(spark, sf_dir, "lineitem")
-    ts = F.col("l_shipdate").cast("timestamp")
-    n = F.col("l_linenumber")
-    df = li.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string")).alias("transaction_id"),
-        _bank(F.col("l_suppkey")).alias("bank_entity"),
-        F.concat(F.lit("CLI-"), F.col("l_partkey").cast("string")).alias("customer_id"),
-        _pick(n % 4, ["TRANSFER", "PAYMENT", "WITHDRAWAL", "DEPOSIT"]).alias("transaction_type"),
-        F.col("l_extendedprice").alias("amount"),
-        _pick(F.col("l_partkey") % 4, ["APP", "ATM", "BRANCH", "CORRESPONDENT"]).alias("channel"),
-        ts.alias("transaction_timestamp"),
-        F.when(F.col("l_partkey") % 4 != 0, F.concat(F.lit("SUC-"), F.lpad((F.col("l_suppkey") % 50).cast("string"), 3, "0"))).alias("branch_id"),
+    df = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey || '-' || l_linenumber AS transaction_id",
+        "'bank-' || lpad(l_suppkey % 12, 2, '0') AS bank_entity",
+        "'CLI-' || l_partkey AS customer_id",
+        "CASE l_linenumber % 4 WHEN 0 THEN 'TRANSFER' WHEN 1 THEN 'PAYMENT' WHEN 2 THEN 'WITHDRAWAL' ELSE 'DEPOSIT' END AS transaction_type",
+        "l_extendedprice AS amount",
+        "CASE l_partkey % 4 WHEN 0 THEN 'APP' WHEN 1 THEN 'ATM' WHEN 2 THEN 'BRANCH' ELSE 'CORRESPONDENT' END AS channel",
+        "cast(l_shipdate AS timestamp) AS transaction_timestamp",
+        "CASE WHEN l_partkey % 4 <> 0 THEN 'SUC-' || lpad(l_suppkey % 50, 3, '0') END AS branch_id",
     )
     return df.withColumn("fraud_score", hash_score("transaction_id")).withColumn("status", decide("fraud_score"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from bankweave.functions import cache_key, last_txn_key, money
+from bankweave.functions import cache_key, epoch_slot, last_txn_key, money
 from bankweave.operators import aggregates, predict, validate, windows
 from bankweave.operators.tables import check_existing
 from bankweave.session import new_folder
@@ -76,15 +76,22 @@ def live_cache(stream: DataFrame, ttl: str = "3600 seconds") -> DataFrame:
                           (F.col(TS) + F.expr(f"INTERVAL {ttl}")).alias("expires_at"))
 
 
-def follow_up_stream(stream: DataFrame, reach: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """Transactions that follow, within ``reach``, a block of the same customer at another bank."""
-    left = stream.withWatermark(TS, delay)
+def follow_up_stream(stream: DataFrame, reach: int = 3600, delay: str = "10 minutes") -> DataFrame:
+    """Transactions that follow, within ``reach`` seconds, a block of the same customer at another bank.
+
+    Both sides also match on a time slot as wide as the reach, a block being offered to its own
+    slot and the next, so that the state of a busy customer is spread over slots.
+    """
+    left = stream.withColumn("_slot", epoch_slot(TS, reach)).withWatermark(TS, delay)
+    own = epoch_slot(TS, reach)
     blocked = stream.filter(F.col("status") == "BLOCKED").select(
         F.col("customer_id").alias("b_customer"), F.col("bank_entity").alias("b_bank"), F.col(TS).alias("b_ts"),
+        F.explode(F.array(own, own + 1)).alias("b_slot"),
     ).withWatermark("b_ts", delay)
-    on = (F.col("customer_id") == F.col("b_customer")) & (F.col("bank_entity") != F.col("b_bank")) & (
-        F.col("b_ts") <= F.col(TS)) & (F.col(TS) <= F.col("b_ts") + F.expr(f"INTERVAL {reach}"))
-    return left.join(blocked, on, "left_semi")
+    on = (F.col("customer_id") == F.col("b_customer")) & (F.col("_slot") == F.col("b_slot")) & (
+        F.col("bank_entity") != F.col("b_bank")) & (F.col("b_ts") <= F.col(TS)) & (
+        F.col(TS) <= F.col("b_ts") + F.expr(f"INTERVAL {int(reach)} SECONDS"))
+    return left.join(blocked, on, "left_semi").drop("_slot")
 
 
 # Sinks.
