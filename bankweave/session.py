@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile methods beyond this size, so a larger generated loop is slower than none.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
