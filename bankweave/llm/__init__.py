@@ -1,0 +1,10 @@
+"""Operators for training corpora.
+
+Functions that run in Python workers are shipped by value, so executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

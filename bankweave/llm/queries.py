@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import lines, mixing, packing, topk, urls
+from bankweave.llm import lines, mixing, packing, pii, quality, topk, urls
 from bankweave.llm.common import read
 from bankweave.session import stage
 
@@ -33,6 +33,13 @@ def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = quality.judge(docs.select("doc_id", "text"), quality.fit_references(docs))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("op2_line_dedup", r"""
     WITH lines AS (
       SELECT doc_id, generate_subscripts(a, 1) AS pos, unnest(a) AS line FROM (
@@ -111,6 +118,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("pii", lambda s: s["order"] < len(pii.BASE))
+    counts = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k.name)).cast("long").alias(f"n_{k.name}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
