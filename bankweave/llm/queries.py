@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import lines, mixing, packing, pii, quality, topk, urls
+from bankweave.llm import lines, mixing, ngrams, packing, pii, quality, topk, urls
 from bankweave.llm.common import read
 from bankweave.session import stage
 
@@ -118,6 +118,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngrams.ngram_join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "class_id", "n_links", "copies")
+
+
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
