@@ -1,7 +1,6 @@
 """Personal data: expressions propose spans, checksums confirm them, words nearby adjust the score.
 
-Only built-in expressions are used.  A text is split at an expression's matches; where a match starts follows from
-the lengths of the parts and matches in front of it.
+Only built-in expressions are used.
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bankweave.llm.spans import proposals
+
 # What a span of each base kind looks like, in order of kind.
 #   email  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
 #   ip     [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+), parts at most 255
@@ -51,8 +52,6 @@ MORE = (
     Kind("local_phone", LOCAL_PHONE, r"[0-9]{3}[.-][0-9]{4}", 0.3, "phone|tel|call|mobile|telefon|téléphone|teléfono|fax", 0.5),
 )
 BONUS = 0.3
-NEAR = 40  # code points on either side that count as nearby
-_CHUNK = 64
 
 
 def digits(span: Column) -> Column:
@@ -90,29 +89,6 @@ def confirmed(name: str, span: Column) -> Column:
     return F.lit(True)
 
 
-def _prefix_sums(steps: Column) -> Column:
-    """Sum of all elements in front of each, by chunks, so that no long array is copied once per element."""
-    n = F.size(steps)
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")), lambda i: F.slice(steps, i * _CHUNK + 1, _CHUNK))
-    running = lambda values: F.aggregate(
-        values, F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before")),
-        lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["before"], F.array(acc["sum"])).alias("before")))
-    parts = F.transform(chunks, running)
-    starts = running(F.transform(parts, lambda p: p["sum"]))["before"]
-    return F.flatten(F.zip_with(parts, starts, lambda p, start: F.transform(p["before"], lambda x: x + start)))
-
-
-def proposals(matches: Column, parts: Column) -> Column:
-    """Array of (start, match, before, after) from an expression's matches and the parts of the text between them."""
-    n = F.size(matches)
-    steps = F.zip_with(F.slice(parts, 1, n), matches, lambda p, m: F.char_length(p) + F.char_length(m))
-    rows = F.arrays_zip(
-        _prefix_sums(steps).alias("at"), F.slice(parts, 1, n).alias("part"), matches.alias("match"), F.slice(parts, 2, n).alias("after"))
-    return F.transform(rows, lambda r: F.struct(
-        (r["at"] + F.char_length(r["part"])).alias("start"), r["match"].alias("match"),
-        F.right(r["part"], F.lit(NEAR)).alias("before"), F.left(r["after"], F.lit(NEAR)).alias("after")))
-
-
 def confirmed_spans(found: Column, kind: Kind, order: int) -> Column:
     """Array of confirmed spans (start, order, kind, end, score) of one kind."""
     near = rf"(?i)(?<!\p{{L}})(?:{kind.context})(?!\p{{L}})"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, topk, urls
+from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls
 from bankweave.llm.common import read
 from bankweave.session import stage
 
@@ -102,6 +102,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    model = secrets.fit(secrets.labelled_findings(docs))
+    return secrets.scan(docs, model, path="source").select("doc_id", "start", "end", "score", "is_secret")
+
+
 @query("op8_mixing", """
     WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
