@@ -1,10 +1,75 @@
-"""Corpus pipeline."""
-from pyspark.sql import DataFrame, SparkSession  # noqa: F401
+"""Corpus pipeline: from raw documents to packed training sequences.
 
+Every stage is written as Parquet to the shared folder and read again, so a lost executor costs one stage at most.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from bankweave.llm import lines, mixing, ngrams, packing, quality
+from bankweave.llm.common import WORD, read
+from bankweave.llm.queries import tokenizer_path
+from bankweave.session import stage
+
+# No SQL: quality references, MinHash and token ids are not expressible; tests/llm holds a brute-force version.
+ORACLE_SQL = None
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and resemble a language of the corpus."""
+    return quality.judge(docs, quality.fit_references(docs)).filter("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that others share with them."""
+    kept = lines.line_dedup(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group that links hold together.  Documents without words stay."""
+    joined = ngrams.ngram_join(docs.select("doc_id", "text"))
+    first = joined.filter("first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    held = docs.withColumn("__own", F.xxhash64("text"))
+    held = held.join(first, held["doc_id"].eqNullSafe(first["__id"]) & (held["__own"] == first["__hash"]), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id", "__own").orderBy("n_chars"))
+    # A row that repeats a document goes as well; rows are alike by id and text, so any may stay.
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    return held.withColumn("__n", once).filter((F.col("__n") == 1) | wordless).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    sizes = stage(mixing.sized(docs).select("doc_id", "source", "size"), "sizes")
+    return mixing.emit(mixing.mix_sizes(sizes, drawn=mixing.sized(docs))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources", mix_sources), ("packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"pipeline": run}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
