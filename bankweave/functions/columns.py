@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from bankweave.schemas import INFLOW_TYPES, PAYDAYS
+from bankweave.schemas import AMOUNT, INFLOW_TYPES, PAYDAYS
 
 # The score bounds (both strict) and the accepted number format.
 BLOCK_ABOVE = 0.85
@@ -39,8 +39,8 @@ def hours_before(moment: Column, hours: int) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Exact cents: decimal sums do not depend on the order rows arrive in."""
-    return as_col(c).cast("decimal(18,2)")
+    """Amount in the declared numeric type, nine decimals: decimal sums do not depend on the order rows arrive in."""
+    return as_col(c).cast(AMOUNT)
 
 
 def total(c: Column | str) -> Column:
@@ -111,10 +111,6 @@ def present(doc: Column, key: str) -> Column:
     return F.coalesce(F.map_contains_key(doc, key), F.lit(False))
 
 
-def profile_key() -> Column:
-    return F.concat_ws("#", "bank_entity", "customer_id")
-
-
 def last_txn_key() -> Column:
     return F.concat(F.lit("customer:"), F.col("bank_entity"), F.lit(":"), F.col("customer_id"), F.lit(":last_txn"))
 

@@ -39,25 +39,25 @@ def movement_trends(tx: DataFrame, approx_customers: bool = False, rsd: float =
 
 def daily_liquidity(tx: DataFrame, paydays: list[int] | None = None) -> DataFrame:
     """Inflow, outflow and net per bank and day."""
-    amount, zero = money("amount"), F.lit(0).cast("decimal(18,2)")
+    amount, zero = money("amount"), money(F.lit(0))
     inflow = F.sum(F.when(is_inflow(), amount).otherwise(zero))
     outflow = F.sum(F.when(~is_inflow(), amount).otherwise(zero))
     return (
         tx.groupBy("bank_entity", F.to_date("transaction_timestamp").alias("date"))
         .agg(inflow.cast("double").alias("total_inflow"), outflow.cast("double").alias("total_outflow"),
-             (inflow - outflow).cast("double").alias("net_liquidity"))
+             F.sum(F.when(is_inflow(), amount).otherwise(-amount)).cast("double").alias("net_liquidity"))
         .withColumn("day_of_week", F.dayofweek("date"))
         .withColumn("day_of_month", F.dayofmonth("date"))
         .withColumn("is_payday", is_payday("date", paydays))
     )
 
 
-def branch_metrics(tx: DataFrame, exact_median: bool = False) -> DataFrame:
+def branch_metrics(tx: DataFrame) -> DataFrame:
     """Volume per bank, branch, channel and day.
 
     ``last_active_hour`` is the greatest hour seen; ``peak_hour`` the busiest (ties: the earliest).
     """
-    median = F.expr("percentile_disc(0.5) within group (order by amount)") if exact_median else F.percentile_approx("amount", 0.5)
+    median = F.percentile_approx("amount", 0.5)
     hour = F.hour("transaction_timestamp")
     return (
         tx.filter(F.col("branch_id").isNotNull())
@@ -69,14 +69,15 @@ def branch_metrics(tx: DataFrame, exact_median: bool = False) -> DataFrame:
 
 
 def branch_utilization(branches: DataFrame) -> DataFrame:
-    """Branch-day volume over the busiest branch of that bank and day, with its load class."""
+    """Branch-day volume over the busiest branch of that bank and day, with its load class.
+
+    The windows run over one row per branch and day, so nothing is read twice.
+    """
     per_branch = branches.groupBy("bank_entity", "metric_date", "branch_id").agg(
         F.sum("total_transactions").alias("branch_transactions"))
     day = Window.partitionBy("bank_entity", "metric_date")
     rated = per_branch.withColumn("utilization_rate", ratio(F.col("branch_transactions"), F.max("branch_transactions").over(day)))
-    bounds = rated.groupBy("bank_entity", "metric_date").agg(
-        F.percentile("utilization_rate", 0.1).alias("low"), F.percentile("utilization_rate", 0.9).alias("high"))
-    return rated.join(bounds, ["bank_entity", "metric_date"]).withColumn(
+    return rated.withColumns({"low": F.percentile("utilization_rate", 0.1).over(day), "high": F.percentile("utilization_rate", 0.9).over(day)}).withColumn(
         "load_class",
         F.when(F.col("utilization_rate") >= F.col("high"), "CONGESTED")
         .when(F.col("utilization_rate") <= F.col("low"), "UNDERUSED").otherwise("NORMAL"),
@@ -84,10 +85,15 @@ def branch_utilization(branches: DataFrame) -> DataFrame:
 
 
 def branch_volume(tx: DataFrame) -> DataFrame:
-    """Rows of the branch volume table: utilization filled in, waiting time not (there is no input for it)."""
-    metrics = branch_metrics(tx)
-    rates = branch_utilization(metrics).select("bank_entity", "metric_date", "branch_id", "utilization_rate")
-    return metrics.join(rates, ["bank_entity", "metric_date", "branch_id"]).select(
+    """Rows of the branch volume table: utilization filled in, waiting time not (there is no input for it).
+
+    Windows over the aggregated rows, a few for each branch and day, give the rate; the transactions are read once.
+    """
+    day = Window.partitionBy("bank_entity", "metric_date")
+    branch = Window.partitionBy("bank_entity", "metric_date", "branch_id")
+    metrics = branch_metrics(tx).withColumn("_branch", F.sum("total_transactions").over(branch))
+    metrics = metrics.withColumn("utilization_rate", ratio(F.col("_branch"), F.max("_branch").over(day)))
+    return metrics.select(
         stable_id("bank_entity", "branch_id", "channel_type", "metric_date").alias("metric_id"),
         "bank_entity", "branch_id", "channel_type", F.col("metric_date").cast("timestamp").alias("metric_date"),
         "total_transactions", "total_amount", F.lit(None).cast("double").alias("avg_wait_time_minutes"),
@@ -149,18 +155,20 @@ def kpi_rows(counts: DataFrame) -> DataFrame:
 def consolidated_report(tx: DataFrame, report_type: str = "DAILY") -> DataFrame:
     """Daily report per bank with a per-type breakdown as JSON."""
     millis = F.unix_millis("processing_timestamp") - F.unix_millis("transaction_timestamp")
-    kinds = sorted(S.TRANSACTION_TYPES)
-    grouped = tx.groupBy("bank_entity", F.to_date("transaction_timestamp").alias("report_date")).agg(
-        _n().alias("total_transactions"), total("amount").alias("total_amount"),
-        F.count_if(_is("BLOCKED")).alias("fraud_blocked_count"),
-        F.coalesce(F.sum(F.when(_is("BLOCKED"), money("amount"))).cast("double"), F.lit(0.0)).alias("fraud_blocked_amount"),
-        ratio(F.sum(millis), _n()).alias("avg_processing_time_ms"),
-        *[F.count_if(F.col("transaction_type") == k).alias(k) for k in kinds],
+    blocked = F.sum(F.when(_is("BLOCKED"), money("amount")))
+    per_type = tx.groupBy("bank_entity", F.to_date("transaction_timestamp").alias("report_date"), "transaction_type").agg(
+        _n().alias("n"), F.sum(money("amount")).alias("amount"), F.count_if(_is("BLOCKED")).alias("b"), blocked.alias("b_amount"), F.sum(millis).alias("ms"))
+    # Every type that occurs, the catalog's or not, in order of name.
+    kinds = F.sort_array(F.collect_list(F.when(F.col("transaction_type").isNotNull(), F.struct("transaction_type", "n"))))
+    grouped = per_type.groupBy("bank_entity", "report_date").agg(
+        F.sum("n").alias("total_transactions"), F.sum("amount").cast("double").alias("total_amount"), F.sum("b").alias("fraud_blocked_count"),
+        F.coalesce(F.sum("b_amount").cast("double"), F.lit(0.0)).alias("fraud_blocked_amount"),
+        ratio(F.sum("ms"), F.sum("n")).alias("avg_processing_time_ms"), F.map_from_entries(kinds).alias("kinds"),
     )
     return grouped.select(
         stable_id(F.lit(report_type), "bank_entity", "report_date").alias("report_id"), F.lit(report_type).alias("report_type"),
         "bank_entity", F.col("report_date").cast("timestamp").alias("report_date"), "total_transactions", "total_amount",
-        "fraud_blocked_count", "fraud_blocked_amount", "avg_processing_time_ms", F.to_json(F.struct(*kinds)).alias("details"),
+        "fraud_blocked_count", "fraud_blocked_amount", "avg_processing_time_ms", F.to_json("kinds").alias("details"),
     )
 
 
@@ -177,7 +185,7 @@ def blocked_by_hour(tx: DataFrame) -> DataFrame:
 
 def branch_heat_map(tx: DataFrame) -> DataFrame:
     """Branch by channel volume; channels are the closed catalog, so no pass is needed to find them."""
-    kinds = [c for c in S.CHANNELS if c != "APP"]
+    kinds = S.CHANNELS
     return tx.filter(F.col("branch_id").isNotNull()).groupBy("branch_id").pivot("channel", kinds).agg(_n()).na.fill(0, kinds)
 
 
@@ -209,6 +217,5 @@ def reconcile(closes: DataFrame, tx: DataFrame) -> DataFrame:
     return declared.join(computed, ["bank_entity", "close_date"], "full_outer").withColumn(
         "count_diff", F.coalesce("declared_count", none) - F.coalesce("computed_count", none)
     ).withColumn(
-        "amount_diff", (F.coalesce(money("declared_amount"), none.cast("decimal(18,2)"))
-                        - F.coalesce(money("computed_amount"), none.cast("decimal(18,2)"))).cast("double")
+        "amount_diff", (F.coalesce(money("declared_amount"), money(none)) - F.coalesce(money("computed_amount"), money(none))).cast("double")
     ).withColumn("matches", (F.col("count_diff") == 0) & (F.col("amount_diff") == 0))

@@ -100,11 +100,16 @@ def percent_rank(df: DataFrame, group: list[str], value: str, out: str) -> DataF
     inside = Window.partitionBy(*group, "_cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = (
         freq.withColumn("_lower", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(cells, [*group, "_cell"])
+        .join(cells.withColumnsRenamed({c: f"_c_{c}" for c in [*group, "_cell"]}), [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*group, "_cell"]])
         .select(
             *group, value,
             F.when(F.col("_all") > 1, (F.col("_below") + F.col("_lower")).cast("double") / (F.col("_all") - 1).cast("double"))
             .otherwise(0.0).alias(out),
         )
     )
-    return df.join(ranked, [*group, value])
+    # Null groups and values are groups and values like others.
+    ranked = ranked.withColumnsRenamed({c: f"_r_{c}" for c in [*group, value]})
+    on = F.lit(True)
+    for c in [*group, value]:
+        on = on & df[c].eqNullSafe(ranked[f"_r_{c}"])
+    return df.join(ranked, on).select(*[df[c] for c in df.columns], out)

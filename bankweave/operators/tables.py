@@ -39,10 +39,19 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "appe
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def write_transactions(tx: DataFrame, path: str, mode: str = "append") -> None:
-    """Date-partitioned, clustered transaction table."""
-    dated = tx.withColumn("tx_date", F.to_date("transaction_timestamp"))
-    write_partitioned(dated, path, ["tx_date"], mode, [c for c in CLUSTER if c in tx.columns])
+# Transaction tables are partitioned by day first, so that retention and erasure work by folder, and then by
+# the load a row came with, so that a repeated load replaces its own folders.
+PARTS = ["tx_date", "load"]
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def laid_out(tx: DataFrame, load: str = "batch") -> DataFrame:
+    return tx.withColumns({"tx_date": F.to_date("transaction_timestamp"), "load": F.lit(load)})
+
+
+def write_transactions(tx: DataFrame, path: str, mode: str = "append", load: str = "batch") -> None:
+    """Date-partitioned, clustered transaction table; ``mode`` overwrite replaces the days and load that ``tx`` has rows for."""
+    write_partitioned(laid_out(tx, load), path, PARTS, mode, [c for c in CLUSTER if c in tx.columns])
 
 
 def write_kpis(kpis: DataFrame, path: str, mode: str = "append") -> None:
@@ -59,12 +68,14 @@ def liquidity_rows(liquidity: DataFrame, run_at) -> DataFrame:
 
 
 def append_liquidity(liquidity: DataFrame, path: str, run_at) -> None:
+    """Add liquidity days; a day that is there already, from an overlapping or repeated run, is replaced."""
     rows = liquidity_rows(liquidity, run_at).withColumn("forecast_day", F.to_date("forecast_date"))
-    write_partitioned(rows, path, ["forecast_day"])
+    write_partitioned(rows, path, ["forecast_day"], "overwrite")
 
 
 def append_branches(branches: DataFrame, path: str) -> None:
-    write_partitioned(branches.withColumn("metric_day", F.to_date("metric_date")), path, ["metric_day"])
+    """Add branch days; a day that is there already is replaced."""
+    write_partitioned(branches.withColumn("metric_day", F.to_date("metric_date")), path, ["metric_day"], "overwrite")
 
 
 def check_existing(spark: SparkSession, df: DataFrame, path: str) -> None:
@@ -89,19 +100,22 @@ def one_per_id(df: DataFrame, key: str = "transaction_id", order: list[str] | No
     return latest_by(df.withColumn("_tie", tie), [key], [*order, "_tie"], first=True).drop("_tie")
 
 
-def append_new(df: DataFrame, path: str, key: str = "transaction_id", ts: str = "transaction_timestamp") -> None:
+def append_new(df: DataFrame, path: str, key: str = "transaction_id", load: str = "batch") -> None:
     """Append the rows whose id the table does not hold yet; running it again adds nothing.
 
-    Only the target's date folders that the new rows fall in are read.
+    Ids are matched alone, not with their day: a row may be undated, or dated by default when it comes again.
+    Of the table only its id column is read.  New rows are staged once, and only what is new is deduplicated.
     """
     spark = df.sparkSession
-    fresh = one_per_id(df, key).withColumn("tx_date", F.to_date(ts))
+    staged = new_folder(spark, "append")
+    fresh = df
     if path_exists(spark, path):
-        lo, hi = df.agg(F.min(F.to_date(ts)), F.max(F.to_date(ts))).first()
-        if lo is not None:
-            held = spark.read.schema(fresh.select("tx_date", key).schema).parquet(path)
-            fresh = fresh.join(held.filter(F.col("tx_date").between(F.lit(lo), F.lit(hi))), ["tx_date", key], "left_anti")
-    write_partitioned(fresh, path, ["tx_date"], "append", [c for c in CLUSTER if c in df.columns])
+        held = spark.read.schema(df.select(key).schema).parquet(path)
+        fresh = df.join(held, key, "left_anti")
+    fresh.write.parquet(staged)
+    fresh = spark.read.schema(df.schema).parquet(staged)
+    write_transactions(one_per_id(fresh, key), path, load=load)
+    delete_path(spark, staged)
 
 
 def fan_out(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -157,36 +171,51 @@ def tier(df: DataFrame, as_of, date_col: str = "tx_date", cold_days: int = COLD_
 
 
 def expire(spark: SparkSession, path: str, as_of, days: int = RAW_DAYS, date_col: str = "tx_date") -> list[str]:
-    """Drop the date folders older than ``days``: no row is read or rewritten.  Returns what was dropped."""
+    """Drop the date folders older than ``days``: no row is read or rewritten.  Returns what was dropped.
+
+    Rows without a date have no age and stay.
+    """
     edge = _as_date(as_of) - timedelta(days=days)
-    old = [d for d in partition_values(spark, path, date_col) if date.fromisoformat(d) < edge]
+    old = [d for d in partition_values(spark, path, date_col) if d != NO_VALUE and date.fromisoformat(d) < edge]
     for day in old:
         delete_path(spark, f"{path}/{date_col}={day}")
     return old
 
 
-def erase_customers(spark: SparkSession, path: str, ids: DataFrame, date_col: str = "tx_date") -> list[str]:
-    """Remove every row of the given customers, rewriting only the date folders that hold one.
+def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[str] | None = None) -> list[str]:
+    """Remove every row of the given customers, rewriting only the folders that hold one.
 
     Survivors are first written to the shared folder and only then swapped in, so an
     interrupted run can be repeated.  A folder left without rows is deleted: a dynamic
-    overwrite would keep its old content.
+    overwrite would keep its old content.  Undated rows lie in a folder of their own and are treated alike.
     """
     table = spark.read.parquet(path)
-    hit = table.join(ids.select("customer_id"), "customer_id", "left_semi").select(date_col).distinct()
-    touched = [r[0] for r in hit.collect()]  # dates, not rows
+    parts = parts or [c for c in PARTS if c in table.columns]
+    hit = table.join(ids.select("customer_id"), "customer_id", "left_semi").select(*parts).distinct()
+    touched = [tuple(r) for r in hit.collect()]  # folders, not rows
     if not touched:
         return []
     staged = new_folder(spark, "erase")
-    keep = table.filter(F.col(date_col).isin(touched)).join(ids.select("customer_id"), "customer_id", "left_anti")
-    write_partitioned(keep, staged, [date_col], "overwrite", [c for c in CLUSTER if c in table.columns])
-    left = set(partition_values(spark, staged, date_col))
+    inside = F.lit(False)
+    for values in touched:
+        same = F.lit(True)
+        for c, v in zip(parts, values):
+            same = same & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        inside = inside | same
+    keep = table.filter(inside).join(ids.select("customer_id"), "customer_id", "left_anti")
+    # Their folders as a column: an emptied one is told by its absence.
+    write_partitioned(keep, staged, parts, "overwrite", [c for c in CLUSTER if c in table.columns])
+    survivors = spark.read.schema(table.schema).parquet(staged)
+    left = {tuple(r) for r in survivors.select(*parts).distinct().collect()}
     if left:
-        survivors = spark.read.schema(table.schema).parquet(staged)
-        out = survivors.sortWithinPartitions(date_col, *[c for c in CLUSTER if c in table.columns])
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
-    for day in touched:
-        if str(day) not in left:
-            delete_path(spark, f"{path}/{date_col}={day}")
+        out = survivors.sortWithinPartitions(*parts, *[c for c in CLUSTER if c in table.columns])
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    for values in touched:
+        if values not in left:
+            delete_path(spark, "/".join([path, *[f"{c}={NO_VALUE if v is None else v}" for c, v in zip(parts, values)]]))
+    for day in {v[0] for v in touched} - {v[0] for v in left}:
+        folder = f"{path}/{parts[0]}={NO_VALUE if day is None else day}"
+        if len(parts) > 1 and not partition_values(spark, folder, parts[1]):
+            delete_path(spark, folder)
     delete_path(spark, staged)
-    return sorted(str(d) for d in touched)
+    return sorted({str(v[0]) for v in touched})

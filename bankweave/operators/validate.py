@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from bankweave import schemas as S
 from bankweave.functions import decide, hash_score, parse_amount, present, ts_lit
 
+JSON_SPACE = " \t\r\n"
 _JSON_OPTIONS = {"allowNonNumericNumbers": "false"}
 _TEXT_FIELDS = [
     "transaction_id", "bank_entity", "customer_id", "transaction_type", "currency", "source_account",
@@ -29,7 +30,7 @@ def parse(df: DataFrame, raw: str = "raw") -> DataFrame:
     as a plain column it would be parsed again in every filter the planner pushes down.
     """
     text = F.col(raw).cast("string")
-    doc = F.when(F.rtrim(text).endswith("}"), F.from_json(text, T.MapType(T.StringType(), T.StringType()), _JSON_OPTIONS))
+    doc = F.when(F.rtrim(text, F.lit(JSON_SPACE)).endswith("}"), F.from_json(text, T.MapType(T.StringType(), T.StringType()), _JSON_OPTIONS))
     return df.select("*", F.explode(F.array(doc)).alias("doc")).withColumn("malformed", F.col("doc").isNull())
 
 
@@ -143,13 +144,22 @@ def clean_and_score(df: DataFrame, now: Column, banks: list[str] | None = None,
 
 
 def warehouse_gaps() -> Column:
-    """Names of required warehouse columns a row cannot fill (null, or beyond the numeric range)."""
+    """Names of required warehouse columns a row cannot fill (null, or more than the declared numeric type holds)."""
     required = [f.name for f in S.TRANSACTIONS.fields if not f.nullable]
     checks = [F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in required]
-    checks.append(F.when(F.abs(F.col("amount").cast("double")) >= 1e15, F.lit("amount out of range")))
+    checks.append(F.when(F.col("amount").isNotNull() & F.col("amount").try_cast(S.AMOUNT).isNull(), F.lit("amount out of range")))
     return drop_nulls(checks)
 
 
+def storable(df: DataFrame, now: Column, banks: list[str] | None = None, raw: str = "raw") -> DataFrame:
+    """Every message with its scored columns and ``errors``: what validation found or, where it found nothing, what
+    the warehouse cannot hold.  A row without errors can be stored everywhere, any other belongs in quarantine."""
+    checked = validate(df, banks, raw)
+    rows = score(typed(checked.withColumn("_found", F.col("errors")).withColumn("_raw", F.col(raw).cast("string")), now, raw))
+    gaps = F.when(F.size("_found") == 0, warehouse_gaps()).otherwise(F.col("_found"))
+    return rows.withColumn("errors", gaps).drop("_found")
+
+
 def required_gaps(schema: T.StructType) -> Column:
     """Same check for any schema: readers make columns nullable, so it has to be explicit."""
     checks = [F.when(F.col(f.name).isNull(), F.lit(f"null {f.name}")) for f in schema.fields if not f.nullable]
@@ -182,7 +192,8 @@ def quarantine(df: DataFrame, now: Column, raw: str = "raw") -> DataFrame:
 
 
 def with_backoff(dead: DataFrame) -> DataFrame:
-    wait = F.least(F.lit(BACKOFF_MIN_S) * F.pow(F.lit(2.0), F.col("attempt")), F.lit(float(BACKOFF_MAX_S)))
+    """The first failure waits the least, and each later one twice as long, up to the most."""
+    wait = F.least(F.lit(BACKOFF_MIN_S) * F.pow(F.lit(2.0), F.col("attempt") - 1), F.lit(float(BACKOFF_MAX_S)))
     return dead.withColumn(
         "next_attempt_at", F.timestamp_seconds(F.unix_micros("failed_at") / F.lit(1e6) + wait)
     ).withColumn("parked", F.col("attempt") >= MAX_ATTEMPTS)

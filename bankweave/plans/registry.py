@@ -33,8 +33,7 @@ CTES: dict[str, tuple[str, str]] = {
           CASE event_type WHEN 'click' THEN 'TRANSFER' WHEN 'view' THEN 'PAYMENT' WHEN 'purchase' THEN 'WITHDRAWAL'
             WHEN 'signup' THEN 'DEPOSIT' ELSE 'ERROR' END AS transaction_type,
           value AS amount, CASE event_id % 3 WHEN 0 THEN 'DLD' WHEN 1 THEN 'USD' ELSE 'EUR' END AS currency,
-          'BAN-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS source_account,
-          'BAN-' || lpad(CAST(event_id AS VARCHAR), 8, '0') AS destination_account,
+          'BAN-' || user_id AS source_account, 'BAN-' || event_id AS destination_account,
           'bank-' || lpad(CAST((k + 5) % 12 AS VARCHAR), 2, '0') AS destination_bank,
           CASE event_id % 4 WHEN 0 THEN 'APP' WHEN 1 THEN 'ATM' WHEN 2 THEN 'BRANCH' ELSE 'CORRESPONDENT' END AS channel,
           4.5::DOUBLE + (event_id % 6500)::DOUBLE / 1000 AS latitude, (-75)::DOUBLE + (event_id % 8000)::DOUBLE / 1000 AS longitude,
@@ -44,7 +43,7 @@ CTES: dict[str, tuple[str, str]] = {
           CASE WHEN event_id % 4 = 0 AND value >= 60 THEN 1 ELSE 0 END AS is_fraud
         FROM ev"""),
     "tx_all": ("tx0", _score_of("tx0", "transaction_id")),
-    "tx": ("tx_all", "SELECT *, CAST(amount AS DECIMAL(18,2)) AS cents, CAST(transaction_timestamp AS DATE) AS d FROM tx_all WHERE transaction_type <> 'ERROR'"),
+    "tx": ("tx_all", "SELECT *, CAST(amount AS DECIMAL(38,9)) AS cents, CAST(transaction_timestamp AS DATE) AS d FROM tx_all WHERE transaction_type <> 'ERROR'"),
     "li0": ("", """
         SELECT l_orderkey || '-' || l_linenumber AS transaction_id, 'bank-' || lpad(CAST(l_suppkey % 12 AS VARCHAR), 2, '0') AS bank_entity,
           'CLI-' || l_partkey AS customer_id,
@@ -53,7 +52,7 @@ CTES: dict[str, tuple[str, str]] = {
           CASE l_partkey % 4 WHEN 0 THEN 'APP' WHEN 1 THEN 'ATM' WHEN 2 THEN 'BRANCH' ELSE 'CORRESPONDENT' END AS channel,
           l_shipdate AS transaction_timestamp,
           CASE WHEN l_partkey % 4 <> 0 THEN 'SUC-' || lpad(CAST(l_suppkey % 50 AS VARCHAR), 3, '0') END AS branch_id FROM lineitem"""),
-    "li": ("li0", f"SELECT *, CAST(amount AS DECIMAL(18,2)) AS cents, CAST(transaction_timestamp AS DATE) AS d FROM ({_score_of('li0', 'transaction_id')})"),
+    "li": ("li0", f"SELECT *, CAST(amount AS DECIMAL(38,9)) AS cents, CAST(transaction_timestamp AS DATE) AS d FROM ({_score_of('li0', 'transaction_id')})"),
     "fx": ("ev", """
         SELECT 'P' || event_id AS pair_id, CASE event_id % 3 WHEN 0 THEN 'DLD' WHEN 1 THEN 'USD' ELSE 'EUR' END AS base_currency,
           'DLD' AS quote_currency, round(1 + value / 1000, 5) AS rate, ts AS "timestamp", 'feed' AS source
@@ -83,7 +82,8 @@ CTES: dict[str, tuple[str, str]] = {
           bank_entity, count(*) AS n, sum(event_id % 500)::BIGINT AS latency_ms, count(*) FILTER (status = 'BLOCKED') AS blocked,
           count(*) FILTER (status = 'APPROVED') AS approved FROM tx GROUP BY ALL"""),
     "kpis": ("kpi", """
-        SELECT bank_entity, window_start, window_end, kpi_name, kpi_value, '{"transactions":' || n || '}' AS dimensions FROM (
+        SELECT bank_entity, window_start, window_end, kpi_name, kpi_value, '{"transactions":' || n || '}' AS dimensions,
+          sha256(bank_entity || '|' || kpi_name || '|' || epoch_us(window_start)) AS kpi_id FROM (
           SELECT *, unnest(['TPS', 'avg_latency', 'fraud_rate', 'approval_rate']) AS kpi_name,
             unnest([n::DOUBLE / 3600, latency_ms::DOUBLE / n, blocked::DOUBLE / n, approved::DOUBLE / n]) AS kpi_value FROM kpi)"""),
     "hours": ("tx", """
@@ -100,12 +100,18 @@ CTES: dict[str, tuple[str, str]] = {
         SELECT bank_entity, metric_date, branch_id, n AS branch_transactions,
           n::DOUBLE / max(n) OVER (PARTITION BY bank_entity, metric_date) AS utilization_rate
         FROM (SELECT bank_entity, metric_date, branch_id, sum(total_transactions)::BIGINT AS n FROM branch GROUP BY ALL)"""),
+    "kinds": ("tx", "SELECT bank_entity, d, transaction_type, count(*) AS n FROM tx GROUP BY ALL"),
     "act": ("tx", """
         SELECT customer_id, bank_entity, count(*) AS n, count(*) FILTER (status = 'BLOCKED') AS blocked,
           min(transaction_timestamp) FILTER (status = 'BLOCKED') AS first_blocked_ts FROM tx GROUP BY ALL"""),
-    # Expected outcome of every message variant.
+    # Expected outcome of every message variant, and with what the warehouse cannot hold as ``faults``.
+    "fate": ("msg", """
+        SELECT *, CASE WHEN len(errors) > 0 THEN array_to_string(errors, '; ') WHEN v = 27 THEN 'null customer_id'
+          WHEN v = 28 THEN 'null transaction_timestamp' WHEN v = 30 THEN 'amount out of range' END AS faults FROM msg"""),
     "msg": ("tx_all", """
-        SELECT *, v IN (11, 12, 13) AS malformed,
+        SELECT * REPLACE (CASE WHEN v <> 27 THEN customer_id END AS customer_id,
+            CASE v WHEN 28 THEN NULL WHEN 29 THEN TIMESTAMP '2099-01-01' ELSE transaction_timestamp END AS transaction_timestamp),
+          v IN (11, 12, 13) AS malformed,
           CASE WHEN v IN (11, 12, 13) THEN ['malformed']
             WHEN v = 0 THEN ['Campo requerido faltante: currency']
             WHEN v = 1 THEN ['Campo requerido faltante: amount', 'Campo requerido faltante: currency', 'Campo requerido faltante: channel']
@@ -118,7 +124,7 @@ CTES: dict[str, tuple[str, str]] = {
               CASE WHEN v = 2 THEN 'Canal inválido: FAX' END,
               CASE WHEN v IN (3, 4) THEN 'El monto debe ser positivo' WHEN v IN (6, 7, 8, 9, 19, 20) THEN 'Monto inválido' END
             ], lambda e: e IS NOT NULL) END AS errors,
-          CASE v WHEN 18 THEN 1000.0::DOUBLE ELSE amount END AS parsed_amount
+          CASE v WHEN 18 THEN 1000.0::DOUBLE WHEN 22 THEN 1e17::DOUBLE WHEN 23 THEN 12.345678::DOUBLE WHEN 30 THEN 1e30::DOUBLE ELSE amount END AS parsed_amount
         FROM (SELECT *, event_id % 40 AS v FROM tx_all)"""),
 }
 

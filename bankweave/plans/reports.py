@@ -57,7 +57,7 @@ def a4(spark, sf):
 BRANCH_TABLE = """SELECT b.*, CAST(NULL AS DOUBLE) AS avg_wait_time_minutes, u.utilization_rate
   FROM branch b JOIN util u USING (bank_entity, metric_date, branch_id)"""
 ROLLED = f"""SELECT bank_entity, branch_id, channel_type, sum(total_transactions)::BIGINT AS total_transactions,
-  sum(CAST(total_amount AS DECIMAL(18,2)))::DOUBLE AS total_amount,
+  sum(CAST(total_amount AS DECIMAL(38,9)))::DOUBLE AS total_amount,
   sum(CAST(utilization_rate AS DECIMAL(18,9)))::DOUBLE / count(*) AS avg_utilization, CAST(NULL AS DOUBLE) AS avg_wait_time
   FROM ({BRANCH_TABLE}) WHERE metric_date >= TIMESTAMP '2024-01-24' GROUP BY ALL"""
 
@@ -78,20 +78,19 @@ def a6(spark, sf):
 
 @query("a7_kpi_windows", sql("kpis", "SELECT * FROM kpis"))
 def a7(spark, sf):
-    return A.kpi_rows(A.kpi_counts(fx.tx(spark, sf))).drop("kpi_id")
+    return A.kpi_rows(A.kpi_counts(fx.tx(spark, sf)))
 
 
-@query("a8_consolidated_report", sql("tx", """
-    SELECT 'DAILY' AS report_type, bank_entity, CAST(d AS TIMESTAMP) AS report_date, count(*) AS total_transactions,
-      sum(cents)::DOUBLE AS total_amount, count(*) FILTER (status = 'BLOCKED') AS fraud_blocked_count,
+@query("a8_consolidated_report", sql("tx kinds", """
+    SELECT sha256('DAILY|' || bank_entity || '|' || d) AS report_id, 'DAILY' AS report_type, bank_entity, CAST(d AS TIMESTAMP) AS report_date,
+      count(*) AS total_transactions, sum(cents)::DOUBLE AS total_amount, count(*) FILTER (status = 'BLOCKED') AS fraud_blocked_count,
       coalesce(sum(cents) FILTER (status = 'BLOCKED'), 0)::DOUBLE AS fraud_blocked_amount,
       sum(event_id % 500)::DOUBLE / count(*) AS avg_processing_time_ms,
-      '{"DEPOSIT":' || count(*) FILTER (transaction_type = 'DEPOSIT') || ',"PAYMENT":' || count(*) FILTER (transaction_type = 'PAYMENT')
-        || ',"TRANSFER":' || count(*) FILTER (transaction_type = 'TRANSFER') || ',"WITHDRAWAL":'
-        || count(*) FILTER (transaction_type = 'WITHDRAWAL') || '}' AS details
+      (SELECT '{' || string_agg('"' || transaction_type || '":' || n, ',' ORDER BY transaction_type) || '}' FROM kinds k
+        WHERE k.bank_entity = tx.bank_entity AND k.d = tx.d) AS details
     FROM tx GROUP BY bank_entity, d"""))
 def a8(spark, sf):
-    return A.consolidated_report(fx.tx(spark, sf)).drop("report_id")
+    return A.consolidated_report(fx.tx(spark, sf))
 
 
 @query("a9_average_score", sql("tx", """
@@ -108,7 +107,7 @@ def a10(spark, sf):
 
 
 @query("a11_branch_heat_map", sql("tx", """
-    SELECT branch_id, count(*) FILTER (channel = 'ATM') AS "ATM", count(*) FILTER (channel = 'BRANCH') AS "BRANCH",
+    SELECT branch_id, count(*) FILTER (channel = 'APP') AS "APP", count(*) FILTER (channel = 'ATM') AS "ATM", count(*) FILTER (channel = 'BRANCH') AS "BRANCH",
       count(*) FILTER (channel = 'CORRESPONDENT') AS "CORRESPONDENT" FROM tx WHERE branch_id IS NOT NULL GROUP BY 1"""))
 def a11(spark, sf):
     return A.branch_heat_map(fx.tx(spark, sf))
@@ -180,21 +179,21 @@ FORECAST = """
     CAST(b.date AS VARCHAR) IN ('2024-01-01', '2024-01-08') AS is_holiday, b.is_payday
   FROM (SELECT bank_entity, CAST(dd AS DATE) AS date, day(dd) IN (1, 15, 30) AS is_payday, dayofweek(dd) + 1 AS day_of_week
         FROM (SELECT DISTINCT bank_entity FROM liq), (SELECT unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS dd)) b
-  LEFT JOIN (SELECT bank_entity, day_of_week, is_payday, sum(CAST(total_inflow AS DECIMAL(18,2)))::DOUBLE / count(*) AS i,
-      sum(CAST(total_outflow AS DECIMAL(18,2)))::DOUBLE / count(*) AS o, sum(CAST(net_liquidity AS DECIMAL(18,2)))::DOUBLE / count(*) AS n,
+  LEFT JOIN (SELECT bank_entity, day_of_week, is_payday, sum(CAST(total_inflow AS DECIMAL(38,9)))::DOUBLE / count(*) AS i,
+      sum(CAST(total_outflow AS DECIMAL(38,9)))::DOUBLE / count(*) AS o, sum(CAST(net_liquidity AS DECIMAL(38,9)))::DOUBLE / count(*) AS n,
       stddev_samp(net_liquidity) AS s FROM liq WHERE date <= {asof} GROUP BY ALL) p
     ON b.bank_entity = p.bank_entity AND b.day_of_week = p.day_of_week AND b.is_payday = p.is_payday
-  LEFT JOIN (SELECT bank_entity, day_of_week, sum(CAST(total_inflow AS DECIMAL(18,2)))::DOUBLE / count(*) AS i,
-      sum(CAST(total_outflow AS DECIMAL(18,2)))::DOUBLE / count(*) AS o, sum(CAST(net_liquidity AS DECIMAL(18,2)))::DOUBLE / count(*) AS n,
+  LEFT JOIN (SELECT bank_entity, day_of_week, sum(CAST(total_inflow AS DECIMAL(38,9)))::DOUBLE / count(*) AS i,
+      sum(CAST(total_outflow AS DECIMAL(38,9)))::DOUBLE / count(*) AS o, sum(CAST(net_liquidity AS DECIMAL(38,9)))::DOUBLE / count(*) AS n,
       stddev_samp(net_liquidity) AS s FROM liq WHERE date <= {asof} GROUP BY ALL) w
     ON b.bank_entity = w.bank_entity AND b.day_of_week = w.day_of_week"""
 AHEAD = FORECAST.format(asof="DATE '2024-01-30'", lo="TIMESTAMP '2024-01-31'", hi="TIMESTAMP '2024-02-06'")
 LAST_DAY = FORECAST.format(asof="DATE '2024-01-29'", lo="TIMESTAMP '2024-01-30'", hi="TIMESTAMP '2024-02-05'")
 
 
-@query("m9_liquidity_forecast", sql("liq", AHEAD))
+@query("m9_liquidity_forecast", sql("liq", f"SELECT sha256(bank_entity || '|' || date || '|seasonal-1') AS forecast_id, * FROM ({AHEAD})"))
 def m9(spark, sf):
-    return P.seasonal_forecast(A.daily_liquidity(fx.tx(spark, sf)), "2024-01-30", 7, fx.HOLIDAYS).drop("forecast_id")
+    return P.seasonal_forecast(A.daily_liquidity(fx.tx(spark, sf)), "2024-01-30", 7, fx.HOLIDAYS)
 
 
 @query("j2_forecast_vs_realised", sql("liq", f"""
@@ -266,7 +265,7 @@ def j8(spark, sf):
 
 
 @query("j8_home_totals", sql("tx fx", f"""
-    SELECT bank_entity, currency, count(*) AS n, count(rate) AS priced, sum(CAST(amount_home AS DECIMAL(18,2)))::DOUBLE AS total_home
+    SELECT bank_entity, currency, count(*) AS n, count(rate) AS priced, sum(CAST(amount_home AS DECIMAL(38,9)))::DOUBLE AS total_home
     FROM ({AS_OF_RATE}) GROUP BY ALL"""))
 def j8_totals(spark, sf):
     return J.home_totals(J.fx_normalise(fx.tx(spark, sf), fx.fx_ticks(spark, sf)))
@@ -308,7 +307,7 @@ TREND_ROWS = "(SELECT bank_entity, d AS date, sum(cents)::DOUBLE AS total_amount
 
 @query("w1_day_over_day", sql("tx", f"""
     SELECT bank_entity, date, total_amount, lag(total_amount) OVER w AS previous_amount,
-      (CAST(total_amount AS DECIMAL(18,2)) - CAST(lag(total_amount) OVER w AS DECIMAL(18,2)))::DOUBLE AS amount_change,
+      (CAST(total_amount AS DECIMAL(38,9)) - CAST(lag(total_amount) OVER w AS DECIMAL(38,9)))::DOUBLE AS amount_change,
       approval_rate - lag(approval_rate) OVER w AS rate_change
     FROM {TREND_ROWS.format(t="tx")} WINDOW w AS (PARTITION BY bank_entity ORDER BY date)"""))
 def w1(spark, sf):
@@ -318,7 +317,7 @@ def w1(spark, sf):
 
 @query("w2_month_over_month", sql("li", f"""
     SELECT a.bank_entity, a.date, a.total_amount, b.total_amount AS last_month_amount,
-      (CAST(a.total_amount AS DECIMAL(18,2)) - CAST(b.total_amount AS DECIMAL(18,2)))::DOUBLE AS amount_change
+      (CAST(a.total_amount AS DECIMAL(38,9)) - CAST(b.total_amount AS DECIMAL(38,9)))::DOUBLE AS amount_change
     FROM {TREND_ROWS.format(t="li")} a LEFT JOIN {TREND_ROWS.format(t="li")} b
     ON a.bank_entity = b.bank_entity AND b.date = CAST(a.date - INTERVAL 1 MONTH AS DATE) AND day(b.date) = day(a.date)"""))
 def w2(spark, sf):
@@ -360,7 +359,7 @@ def w6(spark, sf):
 
 @query("w7_trailing_liquidity", sql("liq", """
     SELECT bank_entity, date, net_liquidity, count(*) OVER w AS days_used,
-      round((sum(CAST(net_liquidity AS DECIMAL(18,2))) OVER w)::DOUBLE / count(*) OVER w, 4) AS trailing_mean,
+      round((sum(CAST(net_liquidity AS DECIMAL(38,9))) OVER w)::DOUBLE / count(*) OVER w, 4) AS trailing_mean,
       round(stddev_samp(net_liquidity) OVER w, 4) AS trailing_sd
     FROM liq WINDOW w AS (PARTITION BY bank_entity ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""))
 def w7(spark, sf):
@@ -381,7 +380,7 @@ def w8(spark, sf):
 
 
 @query("m10_recommendations", sql("tx", f"""
-    SELECT customer_id, bank_entity, product_type, CASE product_type WHEN 'MICRO_CREDIT' THEN 'Micro Credit offer' WHEN 'SAVINGS' THEN 'Savings offer'
+    SELECT sha256(bank_entity || '|' || customer_id || '|' || product_type) AS product_id, customer_id, bank_entity, product_type, CASE product_type WHEN 'MICRO_CREDIT' THEN 'Micro Credit offer' WHEN 'SAVINGS' THEN 'Savings offer'
         WHEN 'INSURANCE' THEN 'Insurance offer' ELSE 'Investment offer' END AS product_name,
       round(rank_score * (used::DOUBLE / transactions) * CASE WHEN blocked > 0 THEN 0.5 ELSE 1.0 END::DOUBLE, 6) AS recommendation_score,
       TIMESTAMP '2024-01-31' AS generated_at,
@@ -390,17 +389,17 @@ def w8(spark, sf):
     FROM (SELECT *, unnest(['MICRO_CREDIT', 'SAVINGS', 'INSURANCE', 'INVESTMENT']) AS product_type,
       unnest([withdrawals, deposits, payments, transfers]) AS used FROM ({RANKED}))"""))
 def m10(spark, sf):
-    return P.recommendations(fx.tx(spark, sf), fx.AS_OF).drop("product_id")
+    return P.recommendations(fx.tx(spark, sf), fx.AS_OF)
 
 
 # Ordered pages.
 
 @query("t1_forecast_page", sql("liq", """
-    SELECT bank_entity, CAST(date AS TIMESTAMP) AS forecast_date, total_inflow AS predicted_inflow, total_outflow AS predicted_outflow,
-      net_liquidity, is_payday FROM liq WHERE date >= TIMESTAMP '2024-01-01' ORDER BY bank_entity, date DESC LIMIT 1000"""))
+    SELECT sha256(bank_entity || '|' || date) AS forecast_id, bank_entity, CAST(date AS TIMESTAMP) AS forecast_date,
+      total_inflow AS predicted_inflow, total_outflow AS predicted_outflow, net_liquidity, is_payday FROM liq WHERE date >= TIMESTAMP '2024-01-01' ORDER BY bank_entity, date DESC LIMIT 1000"""))
 def t1(spark, sf):
     rows = K.liquidity_rows(A.daily_liquidity(fx.tx(spark, sf)), fx.AS_OF)
-    return jobs.liquidity_report(rows, fx.AS_OF).drop("forecast_id")
+    return jobs.liquidity_report(rows, fx.AS_OF)
 
 
 @query("t2_kpi_page", sql("kpis", """
@@ -480,13 +479,16 @@ def m12_counts(spark, sf):
     return P.label_by_status(fx.tx(spark, sf))
 
 
-@query("r7_sessions", sql("tx", """
+SESSIONS = """
     SELECT customer_id, session_no::BIGINT AS session_no, min(transaction_timestamp) AS session_start, count(*) AS transactions,
       sum(cents)::DOUBLE AS amount, max(transaction_timestamp) + INTERVAL 30 MINUTE AS session_end
     FROM (SELECT *, sum(fresh) OVER (PARTITION BY customer_id ORDER BY transaction_timestamp, transaction_id ROWS UNBOUNDED PRECEDING) AS session_no
       FROM (SELECT *, CASE WHEN transaction_timestamp - lag(transaction_timestamp) OVER (PARTITION BY customer_id
           ORDER BY transaction_timestamp, transaction_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM tx))
-    GROUP BY customer_id, session_no"""))
+    GROUP BY customer_id, session_no"""
+
+
+@query("r7_sessions", sql("tx", SESSIONS))
 def r7(spark, sf):
     return W.sessions(fx.tx(spark, sf))
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from bankweave.operators import aggregates as A
 from bankweave.operators import joins as J
 from bankweave.operators import tables as K
+from bankweave.plans import jobs
 from bankweave.plans.registry import query, sql
-from bankweave.plans.reports import FOLLOW_UPS, LATEST, SLIDING
-from bankweave.session import new_folder
+from bankweave.plans.reports import FOLLOW_UPS, LATEST, SESSIONS, SLIDING
+from bankweave.session import new_folder, stage
 from bankweave.sources import files
 from bankweave.sources import fixtures as fx
 from bankweave.streaming import flows
@@ -29,20 +30,40 @@ def tx_stream(spark, sf) -> DataFrame:
 
 def message_stream(spark, sf) -> DataFrame:
     """Staged messages as a stream."""
-    staged = fx.messages(spark, sf)
-    folder = staged.inputFiles()[0].rsplit("/", 1)[0]
-    return files.read_stream(spark, folder, staged.schema, "parquet")
+    return files.read_stream(spark, fx.message_folder(spark, sf), fx.messages(spark, sf).schema, "parquet")
 
 
-@query("s3_stream_scan", sql("msg", "SELECT event_id, length(errors[1]) > 0 AS faulty FROM msg"))
+def late_stream(spark, sf) -> DataFrame:
+    """Valid transactions in several micro-batches, newest first."""
+    return files.read_stream(spark, fx.tx_files(spark, sf), fx.tx(spark, sf).schema, "parquet", max_files=1)
+
+
+@query("s3_stream_scan", sql("fate", """
+    SELECT event_id, NULL AS errors, 1 AS n FROM fate WHERE faults = '' OR faults IS NULL
+    UNION ALL SELECT NULL, faults, count(*) FROM fate WHERE faults <> '' GROUP BY ALL"""))
 def s3(spark, sf):
+    """Nothing is lost: every message is scored, or stands in quarantine with its reason."""
     good, bad = flows.split_stream(message_stream(spark, sf), fx.BANKS)
-    ok = flows.run_to_table(good.select("event_id"), "scan-good").withColumn("faulty", F.lit(None).cast("boolean"))
-    raws = fx.messages(spark, sf).select("event_id")
-    faulty = raws.join(ok.select("event_id"), "event_id", "left_anti").withColumn("faulty", F.lit(True))
-    stored = flows.run_to_table(bad, "scan-bad")
-    # Nothing is lost: what was not scored is in quarantine, row for row.
-    return ok.unionByName(faulty).filter(F.lit(stored.count() == faulty.count()))
+    ok = flows.run_to_table(good.select("event_id"), "scan-good").select("event_id", F.lit(None).cast("string").alias("errors"), F.lit(1).cast("long").alias("n"))
+    stored = flows.run_to_table(bad, "scan-bad").groupBy(F.array_join("errors", "; ").alias("errors")).agg(F.count(F.lit(1)).alias("n"))
+    return ok.unionByName(stored.select(F.lit(None).cast("long").alias("event_id"), "errors", "n"))
+
+
+@query("r2_every_message_kept", sql("fate", """
+    SELECT 'stored' AS place, bank_entity AS k, count(*) AS n FROM fate WHERE faults = '' OR faults IS NULL GROUP BY ALL
+    UNION ALL SELECT 'quarantine', faults, count(*) + count(*) FILTER (event_id % 10 = 0) FROM fate WHERE faults <> '' GROUP BY ALL"""))
+def r2_kept(spark, sf):
+    """Messages in several files, newest first, one dated years ahead among them, and a last file that repeats some."""
+    root, raw = new_folder(spark, "kept"), fx.messages(spark, sf)
+    newest, older = F.col("arrival_date") >= "2024-01-16", F.col("arrival_date") < "2024-01-16"
+    for part in (newest, older, F.col("event_id") % 10 == 0):
+        raw.filter(part).select("raw").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = files.read_stream(spark, f"{root}/in", raw.select("raw").schema, "parquet", max_files=1)
+    for q in jobs.start_message_queries(stream, f"{root}/out", ("warehouse",), fx.BANKS):
+        flows.wait(q)
+    stored = spark.read.parquet(f"{root}/out/warehouse").groupBy(F.lit("stored").alias("place"), F.col("bank_entity").alias("k"))
+    faulty = spark.read.parquet(f"{root}/out/quarantine").groupBy(F.lit("quarantine").alias("place"), F.array_join("errors", "; ").alias("k"))
+    return stored.agg(F.count(F.lit(1)).alias("n")).unionByName(faulty.agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("r1_score_stream", sql("msg", """
@@ -107,9 +128,10 @@ def r6(spark, sf):
     return flows.newest(counts, ["customer_id", "window_start", "window_end"])
 
 
-@query("r7_sessions_stream")
+@query("r7_sessions_stream", sql("tx", f"""
+    SELECT * EXCLUDE (session_no) FROM ({SESSIONS}) WHERE session_end <= (SELECT max(transaction_timestamp) FROM tx) - INTERVAL 10 MINUTE"""))
 def r7(spark, sf):
-    """Closed sessions only: those still open at the end of the data stay in state."""
+    """Closed sessions: a session is emitted once the watermark, ten minutes behind the newest event, has passed its end."""
     return flows.run_to_table(flows.customer_sessions(tx_stream(spark, sf)), "sessions")
 
 
@@ -121,19 +143,46 @@ def r8(spark, sf):
 
 
 @query("r9_live_cache", sql("tx", """
-    SELECT 'txn:' || transaction_id AS cache_key, transaction_id, status, transaction_timestamp, transaction_timestamp + INTERVAL 3600 SECOND AS expires_at FROM tx"""))
+    SELECT 'txn:' || transaction_id AS cache_key, transaction_id, status, processing_timestamp FROM tx
+    WHERE processing_timestamp > TIMESTAMP '2024-01-20 10:30:00' AND processing_timestamp <= TIMESTAMP '2024-01-20 11:30:00'"""))
 def r9(spark, sf):
-    return flows.run_to_table(flows.live_cache(tx_stream(spark, sf)), "live")
+    """Entries alive at a moment; hours that have expired by then are gone."""
+    root, now = new_folder(spark, "live"), "2024-01-20 11:30:00"
+    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("cache",)))
+    flows.purge_cache(spark, root, now)
+    return flows.live_cache(spark, root, now).select("cache_key", "transaction_id", "status", "processing_timestamp")
 
 
-@query("r10_late_rows_replayed", sql("tx", "SELECT d AS tx_date, count(*) AS n FROM tx GROUP BY 1"))
+@query("r10_late_rows", sql("tx", "SELECT transaction_id, d AS tx_date FROM tx"))
 def r10(spark, sf):
-    """Rows later than the watermark are dropped by the stream and come back with a replay."""
-    table = new_folder(spark, "late")
-    kept = flows.run_to_table(flows.dedup(tx_stream(spark, sf), "10 minutes"), "punctual")
-    K.append_new(kept.filter(F.col("transaction_timestamp") >= "2024-01-05"), table)
-    K.append_new(fx.tx(spark, sf), table)
-    return spark.read.parquet(table).groupBy("tx_date").agg(F.count(F.lit(1)).alias("n"))
+    """Rows that come weeks behind newer ones are stored like others, and a replay adds nothing."""
+    root = new_folder(spark, "late")
+    flows.wait(flows.start_multi_sink(flows.dedup(late_stream(spark, sf)), root, sinks=("warehouse",)))
+    K.append_new(fx.tx(spark, sf), f"{root}/warehouse")
+    return spark.read.parquet(f"{root}/warehouse").select("transaction_id", "tx_date")
+
+
+@query("r8_profiles_by_snapshot", sql("tx", LATEST.format(cols="""bank_entity, customer_id, transaction_timestamp, transaction_id, amount, transaction_type,
+      channel, fraud_score, status""")))
+def r8_profiles(spark, sf):
+    """Profiles folded into a snapshot on the way, read as the snapshot and the batches after it."""
+    root = new_folder(spark, "profiles")
+    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("profile",), compact_every=2))
+    return flows.current_profiles(spark, root)
+
+
+@query("k15_k16_stream_layout", sql("tx prof", """
+    SELECT transaction_id, t.customer_id, d AS tx_date FROM tx t WHERE d >= DATE '2024-01-17'
+      AND t.customer_id NOT IN (SELECT customer_id FROM prof WHERE country_code = 'NATION_3')"""))
+def stream_layout(spark, sf):
+    """One table: filled by a stream, replayed later, with customers erased and old days dropped."""
+    root = new_folder(spark, "layout")
+    table = f"{root}/warehouse"
+    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("warehouse",)))
+    K.append_new(fx.tx(spark, sf).withColumn("processing_timestamp", F.lit("2024-03-01").cast("timestamp")), table)
+    K.erase_customers(spark, table, fx.profiles(spark, sf).filter(F.col("country_code") == "NATION_3").select("customer_id"))
+    K.expire(spark, table, fx.AS_OF, days=14)
+    return spark.read.parquet(table).select("transaction_id", "customer_id", "tx_date")
 
 
 @query("j5_follow_up_stream", sql("tx", FOLLOW_UPS))
@@ -142,13 +191,21 @@ def j5(spark, sf):
     return flows.run_to_table(out.select("transaction_id", "customer_id", "bank_entity", "status", "transaction_timestamp"), "follow")
 
 
-@query("r13_subscribers", sql("tx", "SELECT bank_entity, count(*) AS n FROM tx GROUP BY 1"))
+@query("r13_subscribers", sql("tx", "SELECT bank_entity, transaction_id, status, amount FROM tx"))
 def r13(spark, sf):
-    """Each bank drains its own folders with a query and a checkpoint of its own."""
-    root = new_folder(spark, "subscribers")
-    flows.wait(flows.start_multi_sink(tx_stream(spark, sf), root, sinks=("distribution",)))
-    started = [flows.start_subscriber(spark, root, b, f"{root}/out/{b}", f"{root}/progress/{b}") for b in fx.BANKS]
-    for q in started:
-        flows.wait(q)
-    return spark.read.schema("transaction_id string, message string, bank_entity string").option("recursiveFileLookup", True).parquet(
-        f"{root}/out/*").groupBy("bank_entity").agg(F.count(F.lit(1)).alias("n"))
+    """Each bank drains its own folders with a query and a checkpoint of its own; a repeated batch is delivered once."""
+    root, stream = new_folder(spark, "subscribers"), late_stream(spark, sf)
+    flows.wait(flows.start_multi_sink(stream, root, sinks=("distribution",)))
+
+    def drain() -> None:
+        started = [flows.start_subscriber(spark, root, b, f"{root}/out/{b}", f"{root}/progress/{b}") for b in fx.BANKS]
+        for q in started:
+            flows.wait(q)
+
+    drain()
+    again = spark.read.parquet(f"{root}/distribution").filter("batch_id = 0").drop("batch_id").select("bank_entity", "transaction_id", "message")
+    flows._write_batch(stage(again, "again"), f"{root}/distribution", 0, ["bank_entity"])
+    drain()
+    got = spark.read.schema("transaction_id string, message string, bank_entity string").option("recursiveFileLookup", True).parquet(f"{root}/out/*")
+    body = F.from_json("message", "status string, amount double")
+    return got.withColumn("m", body).select("bank_entity", "transaction_id", "m.status", "m.amount")

@@ -22,13 +22,10 @@ BANKS = [
 TRANSACTION_TYPES = ["TRANSFER", "PAYMENT", "WITHDRAWAL", "DEPOSIT"]
 CHANNELS = ["APP", "ATM", "BRANCH", "CORRESPONDENT"]
 CURRENCIES = ["DLD", "USD", "EUR"]
-STATUSES = ["APPROVED", "REJECTED", "PENDING", "BLOCKED"]
 REQUIRED_FIELDS = ["bank_entity", "customer_id", "transaction_type", "amount", "currency", "channel"]
 INFLOW_TYPES = ["DEPOSIT", "TRANSFER_IN"]
 PAYDAYS = [1, 15, 30]
 KPI_NAMES = ["TPS", "avg_latency", "fraud_rate", "approval_rate"]
-PRODUCT_TYPES = ["MICRO_CREDIT", "SAVINGS", "INSURANCE", "INVESTMENT"]
-RATE_TYPES = ["LENDING", "SAVINGS", "MORTGAGE", "INTERBANK"]
 
 # The texts a rejected message is answered with.
 MSG_MISSING = "Campo requerido faltante: "
@@ -41,60 +38,73 @@ MSG_EMPTY_BODY = "Request body vacío"
 MSG_NO_LOT = "Campo 'transactions' requerido"
 
 
-def _struct(spec: str) -> T.StructType:
-    """``name:type`` items; a trailing ``!`` on the name marks a required column."""
-    kinds = {
-        "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),
-        "long": T.LongType(), "bool": T.BooleanType(), "ts": T.TimestampType(),
-        "date": T.DateType(), "numeric": T.DecimalType(38, 9),
-    }
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name.rstrip("!"), kinds[kind], not name.endswith("!")))
-    return T.StructType(fields)
+# The declared columns of each table, and the type of an amount.
+AMOUNT = "decimal(38,9)"
 
 
-HISTORY = _struct(
-    "transaction_id!:string bank_entity!:string customer_id!:string transaction_type!:string "
-    "amount!:double currency!:string source_account:string destination_account:string "
-    "destination_bank:string channel!:string status!:string fraud_score:double latitude:double "
-    "longitude:double transaction_timestamp!:ts branch_id:string is_fraud:int"
+REQUIRED = False  # as Spark's ``nullable``
+
+
+def _table(*columns: tuple) -> T.StructType:
+    out = T.StructType()
+    for column in columns:
+        out.add(*column)
+    return out
+
+
+HISTORY = _table(
+    ("transaction_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED), ("customer_id", "string", REQUIRED),
+    ("transaction_type", "string", REQUIRED), ("amount", "double", REQUIRED), ("currency", "string", REQUIRED),
+    ("source_account", "string"), ("destination_account", "string"), ("destination_bank", "string"),
+    ("channel", "string", REQUIRED), ("status", "string", REQUIRED), ("fraud_score", "double"),
+    ("latitude", "double"), ("longitude", "double"), ("transaction_timestamp", "timestamp", REQUIRED),
+    ("branch_id", "string"), ("is_fraud", "integer"),
 )
-TRANSACTIONS = _struct(
-    "transaction_id!:string bank_entity!:string customer_id!:string transaction_type!:string "
-    "amount!:numeric currency!:string source_account:string destination_account:string "
-    "destination_bank:string channel!:string status!:string fraud_score:double latitude:double "
-    "longitude:double device_id:string transaction_timestamp!:ts processing_timestamp!:ts metadata:string"
+TRANSACTIONS = _table(
+    ("transaction_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED), ("customer_id", "string", REQUIRED),
+    ("transaction_type", "string", REQUIRED), ("amount", "decimal(38,9)", REQUIRED),
+    ("currency", "string", REQUIRED), ("source_account", "string"), ("destination_account", "string"),
+    ("destination_bank", "string"), ("channel", "string", REQUIRED), ("status", "string", REQUIRED),
+    ("fraud_score", "double"), ("latitude", "double"), ("longitude", "double"), ("device_id", "string"),
+    ("transaction_timestamp", "timestamp", REQUIRED), ("processing_timestamp", "timestamp", REQUIRED),
+    ("metadata", "string"),
 )
-KPIS_REALTIME = _struct(
-    "kpi_id!:string bank_entity!:string kpi_name!:string kpi_value!:double window_start!:ts "
-    "window_end!:ts dimensions:string"
+KPIS_REALTIME = _table(
+    ("kpi_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED), ("kpi_name", "string", REQUIRED),
+    ("kpi_value", "double", REQUIRED), ("window_start", "timestamp", REQUIRED),
+    ("window_end", "timestamp", REQUIRED), ("dimensions", "string"),
 )
-REPORTS = _struct(
-    "report_id!:string report_type!:string bank_entity!:string report_date!:ts total_transactions:long "
-    "total_amount:numeric fraud_blocked_count:long fraud_blocked_amount:numeric "
-    "avg_processing_time_ms:double details:string"
+REPORTS = _table(
+    ("report_id", "string", REQUIRED), ("report_type", "string", REQUIRED), ("bank_entity", "string", REQUIRED),
+    ("report_date", "timestamp", REQUIRED), ("total_transactions", "long"), ("total_amount", "decimal(38,9)"),
+    ("fraud_blocked_count", "long"), ("fraud_blocked_amount", "decimal(38,9)"), ("avg_processing_time_ms", "double"),
+    ("details", "string"),
 )
-DATA_PRODUCTS = _struct(
-    "product_id!:string product_name!:string customer_id!:string bank_entity!:string "
-    "recommendation_score:double product_type!:string generated_at!:ts features:string"
+DATA_PRODUCTS = _table(
+    ("product_id", "string", REQUIRED), ("product_name", "string", REQUIRED), ("customer_id", "string", REQUIRED),
+    ("bank_entity", "string", REQUIRED), ("recommendation_score", "double"), ("product_type", "string", REQUIRED),
+    ("generated_at", "timestamp", REQUIRED), ("features", "string"),
 )
-LIQUIDITY_FORECAST = _struct(
-    "forecast_id!:string bank_entity!:string forecast_date!:ts predicted_inflow!:numeric "
-    "predicted_outflow!:numeric net_liquidity!:numeric confidence_interval_lower:numeric "
-    "confidence_interval_upper:numeric model_version:string is_holiday:bool is_payday:bool"
+LIQUIDITY_FORECAST = _table(
+    ("forecast_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED),
+    ("forecast_date", "timestamp", REQUIRED), ("predicted_inflow", "decimal(38,9)", REQUIRED),
+    ("predicted_outflow", "decimal(38,9)", REQUIRED), ("net_liquidity", "decimal(38,9)", REQUIRED),
+    ("confidence_interval_lower", "decimal(38,9)"), ("confidence_interval_upper", "decimal(38,9)"),
+    ("model_version", "string"), ("is_holiday", "boolean"), ("is_payday", "boolean"),
 )
-INTEREST_RATES = _struct(
-    "rate_id!:string country_code!:string rate_type!:string rate_value!:double effective_date!:date source:string"
+INTEREST_RATES = _table(
+    ("rate_id", "string", REQUIRED), ("country_code", "string", REQUIRED), ("rate_type", "string", REQUIRED),
+    ("rate_value", "double", REQUIRED), ("effective_date", "date", REQUIRED), ("source", "string"),
 )
-EXCHANGE_RATES = _struct(
-    "pair_id!:string base_currency!:string quote_currency!:string rate!:double timestamp!:ts source:string"
+EXCHANGE_RATES = _table(
+    ("pair_id", "string", REQUIRED), ("base_currency", "string", REQUIRED), ("quote_currency", "string", REQUIRED),
+    ("rate", "double", REQUIRED), ("timestamp", "timestamp", REQUIRED), ("source", "string"),
 )
-BRANCH_VOLUME_METRICS = _struct(
-    "metric_id!:string bank_entity!:string branch_id!:string channel_type!:string metric_date!:ts "
-    "total_transactions!:long total_amount!:numeric avg_wait_time_minutes:double "
-    "utilization_rate:double peak_hour:long"
+BRANCH_VOLUME_METRICS = _table(
+    ("metric_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED), ("branch_id", "string", REQUIRED),
+    ("channel_type", "string", REQUIRED), ("metric_date", "timestamp", REQUIRED),
+    ("total_transactions", "long", REQUIRED), ("total_amount", "decimal(38,9)", REQUIRED),
+    ("avg_wait_time_minutes", "double"), ("utilization_rate", "double"), ("peak_hour", "long"),
 )
 WAREHOUSE = {
     "transactions": TRANSACTIONS, "kpis_realtime": KPIS_REALTIME, "reports": REPORTS,
@@ -122,20 +132,25 @@ DAILY_CLOSE = T.StructType([
 # Batch feeds.  Only their names and cadence are given by the business, so the
 # columns below are this build's own reading of each feed.
 FEEDS = {
-    "clients": ("csv", _struct("customer_id!:string name:string segment:string country:string balance:double")),
-    "accounts": ("csv", _struct("account_id!:string customer_id!:string bank_entity!:string balance:double opened:date")),
+    "clients": ("csv", _table(
+    ("customer_id", "string", REQUIRED), ("name", "string"), ("segment", "string"), ("country", "string"),
+    ("balance", "double"),
+)),
+    "accounts": ("csv", _table(
+    ("account_id", "string", REQUIRED), ("customer_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED),
+    ("balance", "double"), ("opened", "date"),
+)),
     "transactions": ("jdbc", HISTORY),
     "closures": ("json", DAILY_CLOSE),
     "rates": ("json", INTEREST_RATES),
-    "atm_events": ("json", _struct("event_id!:string bank_entity!:string branch_id:string event_type:string event_ts!:ts amount:double")),
+    "atm_events": ("json", _table(
+    ("event_id", "string", REQUIRED), ("bank_entity", "string", REQUIRED), ("branch_id", "string"),
+    ("event_type", "string"), ("event_ts", "timestamp", REQUIRED), ("amount", "double"),
+)),
     "fx": ("json", EXCHANGE_RATES),
-    "indicators": ("parquet", _struct("indicator!:string country_code:string period:date value:double")),
-    "search_trends": ("json", _struct("term!:string region:string trend_date:date score:double")),
-    "calendar": ("csv", _struct("date!:date event:string is_holiday:bool")),
-}
-
-# Key, family layout and cells of the wide profile row.
-PROFILE_FAMILIES = {
-    "financial_data": ["last_transaction_amount", "last_transaction_type", "last_channel"],
-    "risk_score": ["fraud_score", "last_status"],
+    "indicators": ("parquet", _table(
+    ("indicator", "string", REQUIRED), ("country_code", "string"), ("period", "date"), ("value", "double"),
+)),
+    "search_trends": ("json", _table(("term", "string", REQUIRED), ("region", "string"), ("trend_date", "date"), ("score", "double"))),
+    "calendar": ("csv", _table(("date", "date", REQUIRED), ("event", "string"), ("is_holiday", "boolean"))),
 }

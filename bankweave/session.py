@@ -28,9 +28,26 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, target: int = 128 << 20, least: int = 200, most: int = 50_000) -> int:
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
+def shuffle_partitions(input_bytes: int, target: int = 128 << 20, least: int = 200) -> int:
     """Shuffle partitions for a job over ``input_bytes``; adaptive execution merges the small ones."""
-    return max(least, min(most, -(-input_bytes // target)))
+    return max(least, -(-input_bytes // target))
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Set the session's shuffle partitions by the size of its inputs, unless they are set already."""
+    known = spark.conf.get("spark.sql.shuffle.partitions")
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(known)
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    n = shuffle_partitions(total)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
 
 
 def build_session(master: str | None = None, app: str = "bankweave", **extra: str) -> SparkSession:
@@ -52,11 +69,12 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="bankweave-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    _LOCAL.append(tempfile.TemporaryDirectory(prefix="bankweave-", ignore_cleanup_errors=True))  # removed at exit
+    spark.sparkContext.setCheckpointDir(_LOCAL[-1].name)
+    return _LOCAL[-1].name
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

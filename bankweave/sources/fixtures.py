@@ -44,8 +44,8 @@ def from_events(ev: DataFrame) -> DataFrame:
         "WHEN 'signup' THEN 'DEPOSIT' ELSE 'ERROR' END AS transaction_type",
         "value AS amount",
         "CASE event_id % 3 WHEN 0 THEN 'DLD' WHEN 1 THEN 'USD' ELSE 'EUR' END AS currency",
-        "'BAN-' || lpad(user_id, 8, '0') AS source_account",
-        "'BAN-' || lpad(event_id % 100000000, 8, '0') AS destination_account",
+        "'BAN-' || user_id AS source_account",
+        "'BAN-' || event_id AS destination_account",
         f"'bank-' || lpad(({k} + 5) % 12, 2, '0') AS destination_bank",
         "CASE event_id % 4 WHEN 0 THEN 'APP' WHEN 1 THEN 'ATM' WHEN 2 THEN 'BRANCH' ELSE 'CORRESPONDENT' END AS channel",
         "4.5D + cast(event_id % 6500 AS double) / 1000.0D AS latitude",
@@ -144,7 +144,7 @@ def messages_of(rows: DataFrame) -> DataFrame:
     """Transactions as raw JSON text, with every kind of faulty message among them."""
     num = F.substr("transaction_id", F.lit(2)).cast("bigint")
     v = F.col("_v")
-    stable = ["customer_id", "transaction_type", "source_account", "destination_account", "destination_bank", "status",
+    stable = ["transaction_type", "source_account", "destination_account", "destination_bank", "status",
               "latitude", "longitude", "device_id", "branch_id", "is_fraud"]
 
     def member(key: str, value) -> Column:
@@ -162,11 +162,13 @@ def messages_of(rows: DataFrame) -> DataFrame:
     number = F.col("amount").cast("string")
     amount = swap(number, {
         1: F.lit(None), 3: F.lit("0"), 4: F.lit("-5"), 5: quoted(number), 6: F.lit('"abc"'), 7: F.lit("null"), 8: F.lit('"NaN"'),
-        9: F.lit("true"), 18: F.lit('"1e3"'), 19: F.lit('"12.5f"'), 20: F.lit('{"x":1}')})
+        9: F.lit("true"), 18: F.lit('"1e3"'), 19: F.lit('"12.5f"'), 20: F.lit('{"x":1}'),
+        22: F.lit("100000000000000000"), 23: F.lit("12.345678"), 30: F.lit("1e30")})
     bank = swap(quoted("bank_entity"), {2: F.lit('"bank-99"'), 10: F.concat(F.lit("["), quoted("bank_entity"), F.lit("]"))})
     time = quoted(F.date_format("transaction_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    time = swap(time, {28: F.lit('"yesterday"'), 29: F.lit('"2099-01-01T00:00:00"')})
     members = [
-        F.expr("substr(_stable, 2, length(_stable) - 2)"), member("bank_entity", bank), member("amount", amount),
+        F.expr("substr(_stable, 2, length(_stable) - 2)"), member("customer_id", swap(quoted("customer_id"), {27: F.lit("null")})), member("bank_entity", bank), member("amount", amount),
         member("currency", F.when(~v.isin(0, 1), quoted("currency"))),
         member("channel", swap(quoted("channel"), {1: F.lit(None), 2: F.lit('"FAX"')})),
         member("transaction_id", swap(quoted("transaction_id"), {15: F.lit(None), 16: F.lit("null")})),
@@ -175,7 +177,7 @@ def messages_of(rows: DataFrame) -> DataFrame:
     ]
     whole = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
     raw = swap(whole, {11: F.concat(F.lit("not json "), F.col("transaction_id")), 12: F.concat(F.lit("["), number, F.lit("]")),
-                       13: F.lit(""), 14: F.lit("{}")})
+                       13: F.lit(""), 14: F.lit("{}"), 24: F.concat(whole, F.lit("\n")), 25: F.concat(whole, F.lit("\r\n")), 26: F.concat(whole, F.lit("\t "))})
     return rows.withColumn("_v", num % VARIANTS).withColumn("_stable", F.to_json(F.struct(*stable))).select(
         num.alias("event_id"), F.to_date("transaction_timestamp").alias("arrival_date"), raw.alias("raw"))
 
@@ -183,21 +185,36 @@ def messages_of(rows: DataFrame) -> DataFrame:
 _STAGED: dict[tuple[str, str], str] = {}
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_folder(spark: SparkSession, sf_dir: str) -> str:
     """Raw messages as they arrive: files of text, written once per session from the events table."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    schema = "event_id bigint, arrival_date date, raw string"
     if key not in _STAGED or not path_exists(spark, _STAGED[key]):
         path = new_folder(spark, "messages")
         messages_of(all_tx(spark, sf_dir)).write.parquet(path)
         _STAGED[key] = path
-    return spark.read.schema(schema).parquet(_STAGED[key])
+    return _STAGED[key]
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("event_id bigint, arrival_date date, raw string").parquet(message_folder(spark, sf_dir))
+
+
+def tx_files(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
+    """Folder of valid transactions in several files, written newest first, so that a stream of them meets its late rows last."""
+    path, rows = new_folder(spark, "arrivals"), tx(spark, sf_dir)
+    day = F.dayofmonth("transaction_timestamp")
+    for part in range(parts - 1, -1, -1):
+        rows.filter((day * parts / 32).cast("int") == part).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
 def lots(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:
-    """Messages that are JSON objects, as ingest lots of at most ``size``; every third lot lacks its list."""
-    bodies = messages(spark, sf_dir).filter(F.col("raw").startswith("{")).withColumn(
-        "lot_id", F.floor(F.col("event_id") / size).cast("bigint"))
-    grouped = bodies.groupBy("lot_id").agg(F.concat_ws(",", F.array_sort(F.collect_list("raw"))).alias("items"))
+    """All messages as ingest lots of at most ``size``; every third lot lacks its list.
+
+    What is no JSON stands in its lot as a JSON text, so that a lot stays readable whatever is in it.
+    """
+    bodies = messages(spark, sf_dir).withColumn("lot_id", F.floor(F.col("event_id") / size).cast("bigint"))
+    item = F.when(F.col("raw").rlike(r"^[\[{]"), F.col("raw")).otherwise(F.concat(F.lit('"'), F.col("raw"), F.lit('"')))
+    grouped = bodies.groupBy("lot_id").agg(F.concat_ws(",", F.array_sort(F.collect_list(item))).alias("items"))
     key = F.when(F.col("lot_id") % 3 == 2, "records").otherwise("transactions")
     return grouped.select("lot_id", F.concat(F.lit('{"'), key, F.lit('":['), "items", F.lit("]}")).alias("body"))

@@ -26,11 +26,6 @@ def mark_days(days: DataFrame, holidays: list[str], paydays: list[int] | None =
     )
 
 
-def calendar(spark: SparkSession, start, end, holidays: list[str] | None = None, **kw) -> DataFrame:
-    days = spark.range(1).select(F.explode(F.sequence(date_lit(start), date_lit(end))).alias("date"))
-    return mark_days(days, holidays or [], **kw)
-
-
 def calendar_of(df: DataFrame, ts: str, holidays: list[str] | None = None, extra_days: int = 0, **kw) -> DataFrame:
     """Calendar over the span a table covers, and ``extra_days`` beyond it."""
     span = df.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))

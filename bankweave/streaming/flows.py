@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import datetime, timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from bankweave.functions import cache_key, epoch_slot, last_txn_key, money
+from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ts_lit
 from bankweave.operators import aggregates, predict, validate, windows
-from bankweave.operators.tables import check_existing
-from bankweave.session import new_folder
+from bankweave.operators.tables import check_existing, write_transactions
+from bankweave.session import delete_path, new_folder, partition_values
 
 TS = "transaction_timestamp"
 # Writing order of the sinks: the profile serves the next score, the cache the callers,
@@ -29,22 +30,27 @@ def score_stream(raw: DataFrame, banks: list[str] | None = None) -> DataFrame:
 
 
 def split_stream(raw: DataFrame, banks: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(scored, quarantined): a bad message never stops the query and is never lost."""
-    checked = validate.validate(raw, banks)
+    """(scored, quarantined): a message that is invalid or cannot be stored never stops the query and is never lost."""
     now = F.current_timestamp()
-    return validate.score(validate.typed(validate.accepted(checked), now)), validate.quarantine(checked, now)
+    rows = validate.storable(raw, now, banks)
+    bad = validate.quarantine(rows.withColumn("raw", F.col("_raw")), now)
+    return rows.filter(F.size("errors") == 0).drop("errors", "_raw", "raw"), bad
 
 
 def model_stream(stream: DataFrame, model: PipelineModel) -> DataFrame:
     return predict.model_scores(model, stream)
 
 
-# Stateful part.  ``delay`` is how late an event may arrive; later ones are dropped and counted
-# by Spark (numRowsDroppedByWatermark) and can be brought back with a replay.
+# Stateful part.  ``delay`` is how late an event may come into a windowed result; later ones are counted by Spark
+# (numRowsDroppedByWatermark) and are in the warehouse all the same, from where the batch twin counts them.
 
-def dedup(stream: DataFrame, delay: str = "1 hour", key: str = "transaction_id") -> DataFrame:
-    """One row per id among the copies that arrive within ``delay``; the id is then forgotten."""
-    return stream.withWatermark(TS, delay).dropDuplicatesWithinWatermark([key])
+def dedup(stream: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """One row per id, whenever its copies come.
+
+    There is no watermark: event times come from callers, and one clock that runs ahead would make every later
+    message too late.  The ids seen are the price; they live in the state store on disk, spread over the shuffle partitions.
+    """
+    return stream.dropDuplicates([key])
 
 
 def tumbling_kpis(stream: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
@@ -69,13 +75,6 @@ def last_values(stream: DataFrame) -> DataFrame:
         F.max_by(cells, F.struct(TS, "transaction_id")).alias("v")).select("bank_entity", "customer_id", "v.*")
 
 
-def live_cache(stream: DataFrame, ttl: str = "3600 seconds") -> DataFrame:
-    """Cache entries whose state Spark drops once event time has moved on by the time to live."""
-    entries = stream.withWatermark(TS, ttl).dropDuplicatesWithinWatermark(["transaction_id"])
-    return entries.select(cache_key().alias("cache_key"), "transaction_id", "status", F.col(TS),
-                          (F.col(TS) + F.expr(f"INTERVAL {ttl}")).alias("expires_at"))
-
-
 def follow_up_stream(stream: DataFrame, reach: int = 3600, delay: str = "10 minutes") -> DataFrame:
     """Transactions that follow, within ``reach`` seconds, a block of the same customer at another bank.
 
@@ -116,29 +115,27 @@ def _go(writer: DataStreamWriter, available_now: bool, path: str | None = None)
     return writer.start(path) if path else writer.start()
 
 
-def wait(query: StreamingQuery, seconds: int = 600) -> StreamingQuery:
-    """Wait for a bounded run; a query still going at the limit is stopped and reported."""
-    if not query.awaitTermination(seconds):
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish within {seconds} s")
+def wait(query: StreamingQuery) -> StreamingQuery:
+    """Wait until a bounded run has read all its input, however long that takes."""
+    query.awaitTermination()
     return query
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append", seconds: int = 600) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Drain a stream into a folder of the shared space and return the written table."""
     spark = stream.sparkSession
     root = new_folder(spark, name)
     if mode == "append":
-        wait(start(stream, f"{root}/out", f"{root}/checkpoint"), seconds)
+        wait(start(stream, f"{root}/out", f"{root}/checkpoint"))
         return spark.read.schema(stream.schema).parquet(f"{root}/out")
-    wait(start_batches(stream, f"{root}/out", f"{root}/checkpoint", mode), seconds)
+    wait(start_batches(stream, f"{root}/out", f"{root}/checkpoint", mode))
     return spark.read.parquet(f"{root}/out")
 
 
 def _write_batch(df: DataFrame, folder: str, batch_id: int, by: Iterable[str] = ()) -> None:
-    """Write a micro-batch to a folder of its own; a retried batch replaces what it wrote before."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*by) if by else writer).parquet(f"{folder}/batch_id={batch_id}")
+    """Write a micro-batch to folders of its own, below those of ``by``; a retried batch replaces what it wrote before."""
+    writer = df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by, "batch_id").parquet(folder)
 
 
 def start_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", available_now: bool = True) -> StreamingQuery:
@@ -153,17 +150,13 @@ def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v")).select(*keys, "v.*")
 
 
-def _profile_cells(df: DataFrame) -> DataFrame:
-    return last_values(df)
-
-
 def _cache_entries(df: DataFrame) -> DataFrame:
     return df.select(cache_key().alias("cache_key"), last_txn_key().alias("customer_key"), "transaction_id", "status",
-                     "processing_timestamp", F.to_json(F.struct(*df.columns)).alias("value"))
+                     "processing_timestamp", F.to_json(F.struct(*df.columns)).alias("value"), _hour("processing_timestamp").alias("cache_hour"))
 
 
-def _warehouse_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.size(validate.warehouse_gaps()) == 0).withColumn("tx_date", F.to_date(TS))
+def _hour(ts) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd-HH")
 
 
 def _messages(statuses: tuple[str, ...] | None) -> Callable[[DataFrame], DataFrame]:
@@ -171,29 +164,32 @@ def _messages(statuses: tuple[str, ...] | None) -> Callable[[DataFrame], DataFra
 
 
 def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS, statuses: tuple[str, ...] | None = None,
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True, compact_every: int = 100) -> StreamingQuery:
     """Write each micro-batch to the chosen sinks in order.
 
-    Every sink writes a folder named after the batch, so a batch repeated after a failure
-    overwrites its own output and nothing is written twice.  ``statuses`` limits what the
-    other banks are sent; the default sends every status.
+    Every sink writes folders named after the batch, so a batch repeated after a failure overwrites its own
+    output and nothing is written twice.  The warehouse has the layout of every other transaction table, with the
+    batch as its load.  ``statuses`` limits what the other banks are sent; the default sends every status.  Profile
+    updates are folded into a snapshot every ``compact_every`` batches.
     """
     chosen = set(sinks)
     unknown = chosen - set(SINKS)
     if unknown:
         raise ValueError(f"unknown sinks {sorted(unknown)}")
-    steps = {
-        "profile": (_profile_cells, ()), "cache": (_cache_entries, ()),
-        "warehouse": (_warehouse_rows, ("tx_date",)), "distribution": (_messages(statuses), ("bank_entity",)),
-    }
 
     def write(df: DataFrame, batch_id: int) -> None:
         df = df.persist()
         try:
-            for name in SINKS:
-                if name in chosen:
-                    project, by = steps[name]
-                    _write_batch(project(df), f"{root}/{name}", batch_id, by)
+            if "profile" in chosen:
+                _write_batch(last_values(df), f"{root}/profile/updates", batch_id)
+                if batch_id % compact_every == compact_every - 1:
+                    compact_profiles(df.sparkSession, root, batch_id)
+            if "cache" in chosen:
+                _write_batch(_cache_entries(df), f"{root}/cache", batch_id, ["cache_hour"])
+            if "warehouse" in chosen:
+                write_transactions(df, f"{root}/warehouse", "overwrite", f"stream-{batch_id}")
+            if "distribution" in chosen:
+                _write_batch(_messages(statuses)(df), f"{root}/distribution", batch_id, ["bank_entity"])
         finally:
             df.unpersist()
 
@@ -201,21 +197,58 @@ def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS,
     return _go(writer, available_now)
 
 
-def current_profiles(spark: SparkSession, root: str) -> DataFrame:
-    """Latest cells per bank and customer over all micro-batches."""
-    cells = spark.read.parquet(f"{root}/profile")
-    row = F.struct(*[c for c in PROFILE_COLUMNS if c not in ("bank_entity", "customer_id")])
-    return cells.groupBy("bank_entity", "customer_id").agg(
-        F.max_by(row, F.struct(TS, "transaction_id")).alias("v")).select("bank_entity", "customer_id", "v.*")
+def _snapshot(spark: SparkSession, root: str) -> int:
+    """Last batch that is folded into the profile snapshot, or -1."""
+    return max((int(n) for n in partition_values(spark, f"{root}/profile/snapshot", "upto")), default=-1)
 
 
-def compact_profiles(spark: SparkSession, root: str, out: str) -> None:
-    """Fold the profile updates into one snapshot table."""
-    current_profiles(spark, root).write.mode("overwrite").parquet(out)
+def current_profiles(spark: SparkSession, root: str) -> DataFrame:
+    """Latest cells per bank and customer: the snapshot, and the updates of the batches after it."""
+    upto = _snapshot(spark, root)
+    cells = spark.read.parquet(f"{root}/profile/updates").filter(F.col("batch_id") > upto).drop("batch_id")
+    if upto >= 0:
+        cells = cells.unionByName(spark.read.parquet(f"{root}/profile/snapshot/upto={upto}"))
+    return last_values(cells)
+
+
+def compact_profiles(spark: SparkSession, root: str, upto: int | None = None) -> None:
+    """Fold the updates into a new snapshot, then drop what it replaces."""
+    done = [int(n) for n in partition_values(spark, f"{root}/profile/updates", "batch_id")]
+    upto = max(done, default=-1) if upto is None else upto
+    before = _snapshot(spark, root)
+    if upto <= before:
+        return
+    current_profiles(spark, root).write.mode("overwrite").parquet(f"{root}/profile/snapshot/upto={upto}")
+    # The newest batch may be repeated; its folder stays and is skipped by number.
+    for n in done:
+        if n < upto:
+            delete_path(spark, f"{root}/profile/updates/batch_id={n}")
+    if before >= 0:
+        delete_path(spark, f"{root}/profile/snapshot/upto={before}")
+
+
+def live_cache(spark: SparkSession, root: str, as_of, ttl: int = 3600) -> DataFrame:
+    """Cache entries alive at ``as_of``: only the folders of the hours that the time to live reaches are read."""
+    now = ts_lit(as_of)
+    since = now - F.make_dt_interval(secs=F.lit(ttl).cast("decimal(18,6)"))
+    held = spark.read.parquet(f"{root}/cache").filter(F.col("cache_hour").cast("string").between(_hour(since), _hour(now)))
+    return held.filter((F.col("processing_timestamp") > since) & (F.col("processing_timestamp") <= now)).drop("cache_hour", "batch_id")
+
+
+def purge_cache(spark: SparkSession, root: str, as_of, ttl: int = 3600) -> list[str]:
+    """Delete the folders of hours whose entries have all expired.  Returns what was deleted."""
+    edge = (datetime.fromisoformat(str(as_of)) - timedelta(seconds=ttl)).strftime("%Y-%m-%d-%H")
+    old = [h for h in partition_values(spark, f"{root}/cache", "cache_hour") if h < edge]
+    for hour in old:
+        delete_path(spark, f"{root}/cache/cache_hour={hour}")
+    return old
 
 
 def start_subscriber(spark: SparkSession, root: str, bank: str, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """One bank's own reader of the distribution folders, with its own progress."""
+    """One bank's own reader of its distribution folders, with its own progress.
+
+    A batch that was repeated after a failure comes in new files; its messages are told by their ids and delivered once.
+    """
     schema = "transaction_id string, message string"
-    source = spark.readStream.schema(schema).parquet(f"{root}/distribution/batch_id=*/bank_entity={bank}")
-    return start(source.withColumn("bank_entity", F.lit(bank)), out, checkpoint, available_now=available_now)
+    source = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/distribution/bank_entity={bank}")
+    return start(dedup(source).withColumn("bank_entity", F.lit(bank)), out, checkpoint, available_now=available_now)

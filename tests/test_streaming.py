@@ -43,16 +43,31 @@ def test_repeated_batch_writes_the_same_output(spark, sf_dir):
     assert spark.read.parquet(folder).count() == tx.count()
 
 
-def test_late_rows_are_dropped_and_duplicates_too(spark):
+def test_late_rows_are_kept_and_duplicates_dropped(spark):
     root = new_folder(spark, "late")
     schema = "transaction_id string, transaction_timestamp timestamp"
-    batches = [[("a", "2024-01-01 10:00:00"), ("a", "2024-01-01 10:01:00"), ("b", "2024-01-01 15:00:00")],
+    batches = [[("a", "2024-01-01 10:00:00"), ("a", "2024-01-01 10:01:00"), ("b", "2099-01-01 15:00:00")],
                [("c", "2024-01-01 09:00:00"), ("b", "2024-01-01 15:00:00"), ("d", "2024-01-01 15:30:00")]]
     for rows in batches:
         spark.createDataFrame(rows, "transaction_id string, transaction_timestamp string").coalesce(1).write.mode("append").json(f"{root}/in")
         stream = files.read_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema, "json", max_files=1)
         flows.wait(flows.start(flows.dedup(stream), f"{root}/out", f"{root}/c"))
-    assert sorted(r.transaction_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "d"]
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c", "d"]
+
+
+def test_unstorable_messages_go_to_quarantine(spark):
+    root = new_folder(spark, "faulty")
+    good = {"bank_entity": "banco-sur-cooperativo", "customer_id": "C", "transaction_type": "DEPOSIT", "amount": 3, "currency": "USD", "channel": "ATM", "transaction_id": "T1"}
+    odd = [{"customer_id": None}, {"transaction_timestamp": "yesterday"}, {"amount": 1e30}, {"amount": 1e17}, {"transaction_timestamp": "2099-01-01T00:00:00"}]
+    lines = [json.dumps({**good, **o, "transaction_id": f"T{i}"}) + end for i, o in enumerate(odd) for end in (" \t",)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/in")
+    for q in jobs.message_stream(spark, f"{root}/in", f"{root}/out"):
+        flows.wait(q)
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{root}/out/warehouse").collect()) == ["T3", "T4"]
+    reasons = sorted(r.errors[0] for r in spark.read.parquet(f"{root}/out/quarantine").collect())
+    assert reasons == ["amount out of range", "null customer_id", "null transaction_timestamp"]
+    for sink in ("cache", "distribution"):
+        assert spark.read.parquet(f"{root}/out/{sink}").count() == 2
 
 
 def test_message_stream_job(spark, sf_dir):
@@ -68,8 +83,8 @@ def test_message_stream_job(spark, sf_dir):
     assert spark.read.parquet(f"{root}/out/quarantine").count() == 2
     message = json.loads(spark.read.parquet(f"{root}/out/distribution").first().message)
     assert set(message) == {"transaction_id", "bank_entity", "customer_id", "status", "amount", "currency", "fraud_score", "processing_timestamp"}
-    flows.compact_profiles(spark, f"{root}/out", f"{root}/snapshot")
-    assert spark.read.parquet(f"{root}/snapshot").count() == 1
+    flows.compact_profiles(spark, f"{root}/out")
+    assert flows.current_profiles(spark, f"{root}/out").count() == 1
 
 
 def test_unknown_sink_is_refused(spark, sf_dir):
