@@ -7,10 +7,13 @@ Each Spark partition packs its own documents, so nothing is shuffled.
 
 from __future__ import annotations
 
-import os
+import json
 import re
+import struct
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,9 @@ from pyspark.sql import types as T
 from bankweave.llm.common import bound_batches, text_chunks
 
 END = (0).to_bytes(4, "little")
-CACHE = 400_000
+CACHE = 800_000  # words whose ids a worker keeps, about 200 bytes each
+# Fixed value: how a byte-level vocabulary of this kind splits a text.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space other than the blank and the line feed.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _PIECES = T.StructType([
@@ -31,38 +36,68 @@ _PIECES = T.StructType([
 ])
 
 
+def _byte_of() -> dict[str, int]:
+    """Byte behind each character of a byte-level vocabulary: printable ones stand for themselves, the rest follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes.
+    """Token ids of texts as little-endian 32-bit bytes, as the byte-level vocabulary in ``path`` gives them.
 
-    The vocabulary splits a text before every blank between words, so ids are looked up by word and only words not
-    met lately are encoded.  Texts where a blank may belong to a longer run of white space, or that may hold a special
-    token, are encoded whole.
+    The vocabulary's expression splits a text before every blank between words, so ids are looked up by word and only
+    words not met lately are encoded.  Texts where a blank may belong to a longer run of white space are encoded
+    whole, and texts that may hold a special token by the vocabulary's own library.
     """
 
     def __init__(self, path: str, most: int = CACHE) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            self.vocabulary = json.load(file)
+        special = {t["content"] for t in self.vocabulary["added_tokens"]}
+        of = _byte_of()
+        ranks = {bytes(map(of.__getitem__, t)): i for t, i in self.vocabulary["model"]["vocab"].items() if t not in special}
+        self.words = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.marks = tuple(special)
+        self.path, self.library, self.known, self.most = path, None, {}, most
+
+    def _word(self, text: str) -> bytes:
+        ids = self.words.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _special(self, text: str) -> bytes:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if any(mark in text for mark in self.marks):
+            return self._special(text)
+        if "  " in text or "\n \n" in text or _OTHER_SPACE.search(text):
+            return self._word(text)
+        first, *words = text.split(" ")
+        known = self.known
+        try:
+            return self._word(first) + b"".join(map(known.__getitem__, words))
+        except KeyError:
+            if len(known) > self.most:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = self._word(" " + w)
+            return self._word(first) + b"".join(map(known.__getitem__, words))
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not ("  " in t or "\n \n" in t or "<|" in t or _OTHER_SPACE.search(t)) for t in texts]
-        split = [t.split(" ") if p else None for t, p in zip(texts, plain)]
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        new = {" " + w for words in split if words for w in words[1:] if w not in known}
-        firsts = {words[0] for words in split if words}
-        order = list(new)
-        known.update((w[1:], ids) for w, ids in zip(order, self._whole(order)))
-        order = list(firsts)
-        first = dict(zip(order, self._whole(order)))
-        rest = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
-        get = known.__getitem__
-        return [first[words[0]] + b"".join(map(get, words[1:])) if words else next(rest) for words in split]
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, so that later tasks find the words that earlier ones met."""
+    kept = sys.modules.setdefault("_bankweave_encoders", ModuleType("_bankweave_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 class Packer:
@@ -171,7 +206,7 @@ def pack(
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(tokenizer), Packer(size, most_open)
+        encoder, packer = worker_encoder(tokenizer), Packer(size, most_open)
         number = TaskContext.get().partitionId() << 40
 
         def rows() -> pa.RecordBatch:
@@ -192,8 +227,8 @@ def pack(
 
         for batch, texts in text_chunks(batches, text):
             owners = batch.column(doc).to_pylist()
-            for owner, ids in zip(owners, encoder.encode([(t or b"").decode("utf-8", "replace") for t in texts])):
-                packer.add(owner, ids + END)
+            for owner, t in zip(owners, texts):
+                packer.add(owner, encoder.encode((t or b"").decode("utf-8", "replace")) + END)
             if packer.full:
                 yield rows()
         packer.close()
