@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ratio, ts_lit
 from bankweave.operators.scale import asof_last, latest_by
+from bankweave.session import stage
 
 
 def enrich(tx: DataFrame, profiles: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -30,6 +31,7 @@ def customer_bank_activity(tx: DataFrame) -> DataFrame:
     return tx.groupBy("customer_id", "bank_entity").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(blocked).alias("blocked"),
         F.min(F.when(blocked, F.col("transaction_timestamp"))).alias("first_blocked_ts"),
+        F.max(F.when(F.col("status").isin("BLOCKED", "PENDING"), F.col("transaction_timestamp"))).alias("last_flag"),
     )
 
 
@@ -195,16 +197,13 @@ def unified_view(hot: DataFrame, cold: DataFrame, key: str = "transaction_id") -
 
 def cross_bank_detection(tx: DataFrame, target: float = 0.9) -> DataFrame:
     """Share of multi-bank suspects that were also flagged (blocked or held) at another bank later."""
-    act = customer_bank_activity(tx)
+    act = stage(customer_bank_activity(tx), "activity")  # a row per customer and bank, read several times
     first = act.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("banks"),
         F.min(F.when(F.col("blocked") > 0, F.struct("first_blocked_ts", "bank_entity"))).alias("first"))
     multi = first.filter((F.col("banks") > 1) & F.col("first").isNotNull()).select(
         "customer_id", F.col("first.first_blocked_ts").alias("since"), F.col("first.bank_entity").alias("source_bank"))
-    flags = (
-        tx.filter(F.col("status").isin("BLOCKED", "PENDING")).groupBy("customer_id", "bank_entity")
-        .agg(F.max("transaction_timestamp").alias("last_flag")).withColumnRenamed("customer_id", "f_customer")
-    )
+    flags = act.filter(F.col("last_flag").isNotNull()).select(F.col("customer_id").alias("f_customer"), "bank_entity", "last_flag")
     hit = (F.col("customer_id") == F.col("f_customer")) & (F.col("bank_entity") != F.col("source_bank")) & (F.col("last_flag") > F.col("since"))
     found = multi.join(flags, hit, "left_semi").select("customer_id", F.lit(1).alias("hit"))
     return multi.join(found, "customer_id", "left").agg(

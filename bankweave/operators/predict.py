@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from bankweave.functions import date_lit, decide, is_payday, money, ratio, stable_id, ts_lit
 from bankweave.operators.scale import percent_rank
+from bankweave.session import stage
 from bankweave.sources.generate import mark_days
 
 # Model settings and feature list.
@@ -100,6 +101,7 @@ def _horizon(daily: DataFrame, as_of, days: int, holidays: list[str]) -> DataFra
 def seasonal_forecast(daily: DataFrame, as_of, days: int = 7, holidays: list[str] | None = None) -> DataFrame:
     """Forecast of the next ``days`` days: the bank's mean for that weekday and payday kind,
     or for that weekday when the pair never occurred, with a 95 % band on the net flow."""
+    daily = stage(daily, "daily")  # a row per bank and day, read several times
     past = daily.filter(F.col("date") <= date_lit(as_of))
 
     def level(keys: list[str], tag: str) -> DataFrame:
