@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ def sample(docs: DataFrame, learn: Column, most: int, doc: str, lang: str) -> Da
     bars = (
         usable.select(lang, mark.alias("__mark")).withColumn("__rank", rank).filter(F.col("__rank") <= most)
         .groupBy(F.col(lang).alias("__lang")).agg(F.max("__mark").alias("__bar")))
-    return usable.withColumn("__mark", mark).join(F.broadcast(bars), (F.col(lang) == F.col("__lang")) & (F.col("__mark") <= F.col("__bar"))).drop("__lang", "__bar", "__mark")
+    return usable.withColumn("__mark", mark).join(bars, (F.col(lang) == F.col("__lang")) & (F.col("__mark") <= F.col("__bar"))).drop("__lang", "__bar", "__mark")
 
 
 def count_grams(sampled: DataFrame, lang: str, text: str) -> DataFrame:
@@ -211,11 +211,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("cross_entropy", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     docs = docs.drop(*added.fieldNames())
-    # Bounded by the sample that the fit reads; plain arrays, so that executors need not have the class.
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(getattr(model, f.name) for f in fields(Model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
+        m = model  # its size is bounded by the sample that the fit reads
         known: dict[str, int] = {}
         scores, sizes, letters = np.zeros((0, len(m.langs))), np.zeros(0), np.zeros(0)
         for batch, texts in text_chunks(batches, text):
