@@ -13,24 +13,35 @@ NEAR = 40  # code points on either side that count as nearby
 _CHUNK = 64
 
 
-def _prefix_sums(steps: Column) -> Column:
-    """Sum of all elements in front of each, by chunks, so that no long array is copied once per element."""
-    n = F.size(steps)
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")), lambda i: F.slice(steps, i * _CHUNK + 1, _CHUNK))
-    running = lambda values: F.aggregate(
+def _running(values: Column) -> Column:
+    """Sum of an array, and the sums of all elements in front of each."""
+    return F.aggregate(
         values, F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("before")),
         lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["before"], F.array(acc["sum"])).alias("before")))
-    parts = F.transform(chunks, running)
-    starts = running(F.transform(parts, lambda p: p["sum"]))["before"]
-    return F.flatten(F.zip_with(parts, starts, lambda p, start: F.transform(p["before"], lambda x: x + start)))
+
+
+def _offsets(matches: Column, parts: Column) -> Column:
+    """Length of all parts and matches in front of each part, by chunks, so that no long array is copied once per element."""
+    n = F.size(matches)
+
+    def chunk(i: Column) -> Column:
+        count = F.least(F.lit(_CHUNK), n - i * _CHUNK)
+        pair = F.zip_with(F.slice(parts, i * _CHUNK + 1, count), F.slice(matches, i * _CHUNK + 1, count), lambda p, m: F.char_length(p) + F.char_length(m))
+        return _running(pair)
+
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(n, F.lit(1)) - 1) / _CHUNK).cast("int")), chunk)
+    starts = _running(F.transform(chunks, lambda c: c["sum"]))["before"]
+    return F.flatten(F.zip_with(chunks, starts, lambda c, start: F.transform(c["before"], lambda x: x + start)))
 
 
 def proposals(matches: Column, parts: Column) -> Column:
-    """Array of (start, match, before, after) from an expression's matches and the parts of the text between them."""
+    """Array of (start, match, before, after) from an expression's matches and the parts of the text between them.
+
+    Both are columns that are there already, as they are read many times.
+    """
     n = F.size(matches)
-    steps = F.zip_with(F.slice(parts, 1, n), matches, lambda p, m: F.char_length(p) + F.char_length(m))
     rows = F.arrays_zip(
-        _prefix_sums(steps).alias("at"), F.slice(parts, 1, n).alias("part"), matches.alias("match"), F.slice(parts, 2, n).alias("after"))
+        _offsets(matches, parts).alias("at"), F.slice(parts, 1, n).alias("part"), matches.alias("match"), F.slice(parts, 2, n).alias("after"))
     return F.transform(rows, lambda r: F.struct(
         (r["at"] + F.char_length(r["part"])).alias("start"), r["match"].alias("match"),
         F.right(r["part"], F.lit(NEAR)).alias("before"), F.left(r["after"], F.lit(NEAR)).alias("after")))
