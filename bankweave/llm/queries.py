@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls
@@ -144,7 +144,11 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = F.filter("pii", lambda s: s["order"] < len(pii.BASE))
-    counts = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k.name)).cast("long").alias(f"n_{k.name}") for k in pii.BASE]
+
+    def count(name: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    counts = [count(k.name) for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"))
 
 
