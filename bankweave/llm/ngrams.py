@@ -235,7 +235,8 @@ def ngram_join(
     )
     of = members.groupBy("__rid", "__copies", "__doc", "__hash").agg(F.sort_array(F.collect_set("__leader")).alias("__leaders"))
     bodies = docs.select(F.col(doc).alias("__id"), F.xxhash64(text).alias("__h"), F.col(text).alias("__text"))
-    with_text = of.join(bodies, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    # A merge join at every size: the candidates grow with the input, so they are no side to broadcast.
+    with_text = of.hint("merge").join(bodies, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
     block = F.pmod(F.xxhash64("__rid"), "__blocks").cast("int")
     cells = (
         with_text.select("__rid", "__copies", "__leaders", "__text", F.explode("__leaders").alias("__leader"))
