@@ -35,8 +35,9 @@ def fraud_features(tx: DataFrame) -> DataFrame:
 
 
 def split(df: DataFrame, key: str = "transaction_id", train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """80/20 split by a hash of the id: the same rows whatever the partitioning."""
-    bucket = F.pmod(F.xxhash64(F.lit(SEED), F.col(key)), F.lit(10))
+    """80/20 split by a digest of the id: the same rows whatever the partitioning."""
+    digest = F.md5(F.concat(F.lit(f"{SEED}|"), F.col(key).cast("string")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10
     return df.filter(bucket < train_tenths), df.filter(bucket >= train_tenths)
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bankweave.operators import aggregates as A
 from bankweave.operators import predict as P
 from bankweave.operators import tables as K
-from bankweave.plans.registry import query
+from bankweave.plans.registry import query, sql
 from bankweave.plans.streams import tx_stream
 from bankweave.session import new_folder
 from bankweave.sources import fixtures as fx
@@ -26,11 +27,23 @@ def fitted(spark, sf) -> tuple[PipelineModel, float, dict]:
     return PipelineModel.load(path), auc, counts
 
 
-@query("m2_m3_feature_vectors")
+def _index(column: str) -> str:
+    """Place of each value by falling frequency, ties in order of the value."""
+    return f"(SELECT {column}, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS i FROM tx GROUP BY {column})"
+
+
+_INDEXED = ", ".join(f"x_{c}.i AS {name}" for c, name in P.CATEGORIES.items())
+_PLACES = {**{name: f"x_{c}.i" for c, name in P.CATEGORIES.items()}, "amount": "amount", "hour": "hour(transaction_timestamp)::DOUBLE",
+           "day_of_week": "(dayofweek(d) + 1)::DOUBLE", "day_of_month": "day(d)::DOUBLE"}
+
+
+@query("m2_m3_feature_vectors", sql("tx", f"""
+    SELECT transaction_id, {_INDEXED}, {", ".join(f"{_PLACES[f]} AS f{i}" for i, f in enumerate(P.FEATURES))}
+    FROM tx {" ".join(f"JOIN {_index(c)} x_{c} ON tx.{c} = x_{c}.{c}" for c in P.CATEGORIES)}"""))
 def m2(spark, sf):
     rows = P.fraud_features(fx.tx(spark, sf))
-    out = Pipeline(stages=P.feature_stages()).fit(rows).transform(rows)
-    return out.select("transaction_id", *P.CATEGORIES.values(), F.col("features").cast("string").alias("features"))
+    out = Pipeline(stages=P.feature_stages()).fit(rows).transform(rows).withColumn("v", vector_to_array("features"))
+    return out.select("transaction_id", *P.CATEGORIES.values(), *[F.col("v")[i].alias(f"f{i}") for i in range(len(P.FEATURES))])
 
 
 @query("m4_m6_k12_fraud_model")
@@ -40,11 +53,12 @@ def m4(spark, sf):
         [(len(model.stages), float(auc), counts["train"], counts["test"])], "stages int, auc double, train_rows bigint, test_rows bigint")
 
 
-@query("m5_split")
+@query("m5_split", sql("tx", """
+    SELECT transaction_id, CASE WHEN CAST('0x' || substr(md5('42|' || transaction_id), 1, 8) AS BIGINT) % 10 < 8 THEN 'train' ELSE 'test' END AS part
+    FROM tx WHERE is_fraud IS NOT NULL"""))
 def m5(spark, sf):
     train, test = P.split(P.fraud_features(fx.tx(spark, sf)))
-    return train.agg(F.lit("train").alias("part"), F.count(F.lit(1)).alias("n")).unionByName(
-        test.agg(F.lit("test").alias("part"), F.count(F.lit(1)).alias("n")))
+    return train.select("transaction_id", F.lit("train").alias("part")).unionByName(test.select("transaction_id", F.lit("test").alias("part")))
 
 
 @query("m7_importances")
