@@ -191,6 +191,8 @@ def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[
     """
     table = spark.read.parquet(path)
     parts = parts or [c for c in PARTS if c in table.columns]
+    # A partition column that holds nothing but nulls is read without a type.
+    table = table.withColumns({c: F.col(c).cast("string") for c, kind in table.dtypes if c in parts and kind == "void"})
     hit = table.join(ids.select("customer_id"), "customer_id", "left_semi").select(*parts).distinct()
     touched = [tuple(r) for r in hit.collect()]  # folders, not rows
     if not touched:
