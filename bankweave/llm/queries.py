@@ -134,7 +134,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-@query("op9_ngram_join")
+@query("op9_ngram_join", r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
+    g AS (SELECT DISTINCT doc_id, md5(array_to_string(a[i : i + 4], ' ')) AS gram
+      FROM (SELECT doc_id, a, unnest(range(1, greatest(len(a) - 4, 1) + 1)) AS i FROM w WHERE len(a) > 0)),
+    s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+    p AS (SELECT a, b, c.n = sa.n AND c.n = sb.n AS same FROM c JOIN s sa ON a = sa.doc_id JOIN s sb ON b = sb.doc_id
+      WHERE 5 * c.n >= 4 * (sa.n + sb.n - c.n)),
+    r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.doc_id),
+    k AS (SELECT doc_id, min(root) AS class_id FROM r GROUP BY 1)
+    SELECT k.doc_id, class_id, count(p.a) AS n_links, 1 + count(p.a) FILTER (same) AS copies
+    FROM k LEFT JOIN p ON p.a = k.doc_id GROUP BY k.doc_id, class_id""")
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngrams.ngram_join(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return joined.select("doc_id", "class_id", "n_links", "copies")
