@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankweave.llm.common import SPACES
+from bankweave.session import stage
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -29,8 +30,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, doc: str
     replaced; all others pass through.
 
     Keys are compared by two 64-bit hashes.  Counting is a two-level aggregation that combines before each
-    shuffle, so a line found everywhere arrives as a few partial counts; the join back to the lines is a plain
-    equi-join, whose hot partitions adaptive execution splits.
+    shuffle, so a line found everywhere arrives as a few partial counts; the keys over the threshold are stored in
+    the shared folder, and the join back to the lines is a plain equi-join, whose hot partitions adaptive execution splits.
     """
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
     key = line_key(F.col("__line"))
@@ -41,10 +42,11 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, doc: str
         .filter(F.char_length("__key") >= min_chars)
         .select("__doc", "__text", "__pos", F.xxhash64("__key").alias("__k1"), F.xxhash64(F.lit(1), "__key").alias("__k2"))
     )
-    shared = (
+    # The shared keys are stored: joined as a table of its own, hot partitions of the lines can be split.
+    shared = stage(
         long_lines.select("__k1", "__k2", "__doc").distinct()
         .groupBy("__k1", "__k2").agg(F.count("*").alias("__docs"), F.max("__doc").alias("__keep"))
-        .filter(F.col("__docs") >= min_docs).select("__k1", "__k2", "__keep")
+        .filter(F.col("__docs") >= min_docs).select("__k1", "__k2", "__keep"), "shared-lines",
     )
     drops = (
         long_lines.join(shared, ["__k1", "__k2"]).filter(F.col("__doc") != F.col("__keep"))
