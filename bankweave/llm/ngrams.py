@@ -229,9 +229,9 @@ def ngram_join(
     buckets = stage(
         spread.groupBy("__band", "__code").agg(F.min("__rid").alias("__leader"), F.count("*").alias("__n")).filter("__n > 1").drop("__n"), "buckets")
     members = stage(spread.join(buckets, ["__band", "__code"]).select("__leader", "__rid", "__size", "__copies", "__doc", "__hash").distinct(), "members")
-    groups = (
+    groups = stage(
         members.groupBy("__leader").agg(F.count("*").alias("__n"), F.sum("__size").alias("__ngrams"))
-        .select("__leader", F.ceil(F.greatest(F.col("__n") / block_docs, F.col("__ngrams") / block_ngrams)).cast("int").alias("__blocks"))
+        .select("__leader", F.ceil(F.greatest(F.col("__n") / block_docs, F.col("__ngrams") / block_ngrams)).cast("int").alias("__blocks")), "groups",
     )
     of = members.groupBy("__rid", "__copies", "__doc", "__hash").agg(F.sort_array(F.collect_set("__leader")).alias("__leaders"))
     bodies = docs.select(F.col(doc).alias("__id"), F.xxhash64(text).alias("__h"), F.col(text).alias("__text"))
