@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +35,12 @@ def words_of(text: str) -> list[str]:
 
 
 def sample(docs: DataFrame, learn: Column, most: int, doc: str, lang: str) -> DataFrame:
-    """At most ``most`` document ids per language for fitting, the ones with the smallest hashes of their ids."""
-    mark = F.xxhash64(F.col(doc))
+    """About ``most`` documents per language for fitting, all if there are fewer: those whose id hashes into the share that the
+    language's count asks for.  Only the counts, a row a language, are gathered."""
     usable = docs.filter(learn & F.col(lang).isNotNull() & F.col(doc).isNotNull())
-    rank = F.row_number().over(Window.partitionBy(lang).orderBy("__mark"))
-    bars = (
-        usable.select(lang, mark.alias("__mark")).withColumn("__rank", rank).filter(F.col("__rank") <= most)
-        .groupBy(F.col(lang).alias("__lang")).agg(F.max("__mark").alias("__bar")))
-    return usable.withColumn("__mark", mark).join(bars, (F.col(lang) == F.col("__lang")) & (F.col("__mark") <= F.col("__bar"))).drop("__lang", "__bar", "__mark")
+    place = (F.xxhash64(F.col(doc)).cast("double") / 2.0**63 + 1) / 2
+    shares = usable.groupBy(F.col(lang).alias("__lang")).agg((F.lit(float(most)) / F.count("*")).alias("__share"))
+    return usable.join(shares, (F.col(lang) == F.col("__lang")) & (place < F.col("__share"))).drop("__lang", "__share")
 
 
 def count_grams(sampled: DataFrame, lang: str, text: str) -> DataFrame:
@@ -179,9 +177,9 @@ def fit(
     docs: DataFrame, learn: Column | None = None, max_docs: int = MAX_DOCS, reject: float = REJECT,
     doc: str = "doc_id", lang: str = "lang", text: str = "text",
 ) -> Model:
-    """Model from at most ``max_docs`` labelled documents a language, of those where ``learn`` holds.
+    """Model from about ``max_docs`` labelled documents a language, of those where ``learn`` holds.
 
-    That bound is a parameter of the fit alone; it also bounds the n-gram counts that come to the driver.  Rows without language,
+    That bound, an expected number, is a parameter of the fit alone; it also bounds the n-gram counts that come to the driver.  Rows without language,
     id or text are not used.  Repeated ids count each.  The limit of each language is calibrated on the same documents.
     """
     bound_batches(docs.sparkSession)
