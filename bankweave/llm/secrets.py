@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankweave.llm.spans import proposals
+from bankweave.session import stage
 
 _PLACE = "A-Za-z0-9_+/-"
 # At least 16 places with a digit among them; runs are not given back, so the search is linear in the text.
@@ -36,6 +37,7 @@ FEATURES = (
 )
 MAX_FINDINGS = 40_000
 TREES, DEPTH = 40, 8
+SPREAD = 32  # partitions of the bounded sample, which a limit leaves in one
 LIMIT = 0.5
 
 
@@ -82,8 +84,9 @@ def fit(findings: DataFrame, label: str = "label", most: int = MAX_FINDINGS, tre
 
     At most ``most`` findings are used, the ones with the smallest hashes; this bounds the fit alone.
     """
-    known = findings.filter(F.col(label).isNotNull()).orderBy(F.xxhash64("token", "before"), "token", "before").limit(most)
-    rows = features(known).select(F.col(label).cast("double").alias("label"), *FEATURES)
+    known = findings.filter(F.col(label).isNotNull()).orderBy(F.xxhash64("token", "before"), "token", "before").limit(most).repartition(SPREAD)
+    # The forest reads its rows many times; stored, they do not go back to the documents each time.
+    rows = stage(features(known).select(F.col(label).cast("double").alias("label"), *FEATURES), "findings")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt")
     return Pipeline(stages=[assembler, forest]).fit(rows)
@@ -124,11 +127,11 @@ def labelled_findings(docs: DataFrame, most: int = MAX_FINDINGS // len(TEMPLATES
 
     At most ``most`` documents (by hash of the id) give one finding for each template.
     """
-    words = F.split(F.substring(F.col(text), 1, 400), r"[^\p{L}]+")
+    words = F.split(F.col(text), r"[^\p{L}]+", 6)  # some of its first words are all that is used
     word = lambda i: F.coalesce(F.nullif(F.try_element_at(F.col("ws"), F.lit(i)), F.lit("")), F.lit("word"))
     base = (
         docs.filter(F.col(doc).isNotNull() & (F.char_length(text) > 0)).select(F.col(doc).alias("d"), F.col(source).cast("string").alias("s"), words.alias("ws"))
-        .orderBy(F.xxhash64("d"), "d").limit(most).select("d", "s", word(2).alias("w1"), word(3).alias("w2"), word(4).alias("w3")))
+        .select("d", "s", word(2).alias("w1"), word(3).alias("w2"), word(4).alias("w3")).orderBy(F.xxhash64("d"), "d").limit(most).repartition(SPREAD))
     parts = [
         F.struct(F.lit(label).alias("label"), F.lit(front).alias("front"), F.expr(token.replace("seed", f"concat(d, '/{i}')")).alias("token"), F.lit(back).alias("back"), F.lit(path).alias("path"))
         for i, (label, front, token, back, path) in enumerate(TEMPLATES)]
