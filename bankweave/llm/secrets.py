@@ -47,7 +47,8 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text", path: s
     held = docs.select(F.col(doc).alias("doc_id"), *extra, (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     held = held.withColumn("__m", F.when(body.rlike(CANDIDATE), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))).filter(F.size("__m") > 0)
     held = held.withColumn("__p", F.split(body, CANDIDATE, -1)).drop("__text")
-    found = held.withColumn("__f", proposals(F.col("__m"), F.col("__p"))).select("doc_id", *extra, "path", F.explode("__f").alias("f"))
+    # The outer form: no filter on the spans is then moved below, where it would find them anew from the text.
+    found = held.withColumn("__f", proposals(F.col("__m"), F.col("__p"))).select("doc_id", *extra, "path", F.explode_outer("__f").alias("f"))
     return found.select(
         "doc_id", *extra, "path", F.col("f.start").cast("long").alias("start"), (F.col("f.start") + F.char_length("f.match")).cast("long").alias("end"),
         F.col("f.match").alias("token"), F.col("f.before").alias("before"), F.col("f.after").alias("after"))
