@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 NEAR = 40  # code points on either side that count as nearby
 _CHUNK = 64
+_PIECE = 128
 
 
 def _running(values: Column) -> Column:
@@ -45,3 +46,14 @@ def proposals(matches: Column, parts: Column) -> Column:
     return F.transform(rows, lambda r: F.struct(
         (r["at"] + F.char_length(r["part"])).alias("start"), r["match"].alias("match"),
         F.right(r["part"], F.lit(NEAR)).alias("before"), F.left(r["after"], F.lit(NEAR)).alias("after")))
+
+
+def pieces(text: Column) -> Column:
+    """A text in pieces of one length, so that a cut from it does not count code points from the text's start."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_PIECE}}}+"), F.lit(0))
+
+
+def cut(held: Column, start: Column, length: Column | int) -> Column:
+    """``length`` code points (at most ``_PIECE``, fewer at the text's end) from ``start`` on, from the pieces of a text."""
+    first = F.floor(start / _PIECE).cast("int")
+    return F.substring(F.array_join(F.slice(held, first + 1, 2), ""), start - first * _PIECE + 1, F.lit(length) if isinstance(length, int) else length)

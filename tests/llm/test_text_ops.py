@@ -277,6 +277,22 @@ def test_pii_added_kinds_and_scores(spark):
     assert pii.find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def iban(country, body):
+    check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+    return f"{country}{check:02d}{body}"
+
+
+def test_iban_before_other_places(spark):
+    gb, de, other = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", iban("ZZ", "ABCD12345678901")
+    texts = {
+        f"IBAN {gb} BIC NWBKGB2L": [gb], f"{de} A note": [de], f"{gb} {de} 12 AND MORE CAPITALS": [gb, de], f"REF AT12 {gb} 99": [gb],
+        "é🙂 " * 200 + f"{gb.replace(' ', '')} BIC": [gb.replace(" ", "")], f"{de}5": [], f"{de[:-1]} 1 X": [], f"{other} BIC NWBK": [other],
+        f"{gb} BIC NWBKGB2L " * 40: [gb] * 40, "DE89 3704 0044 0532 0130 01 A": []}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(docs).collect():
+        assert [r["text"][s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"] == texts[r["text"]], r["text"][:60]
+
+
 def test_native_plans_have_no_python(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for df in (pii.find_pii(docs), lines.line_dedup(docs), secrets.features(secrets.candidates(docs))):
