@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankweave.llm.spans import cut, pieces, proposals
+from bankweave.llm.spans import after, before, cut, pieces, proposals
 
 # What a span of each base kind looks like, in order of kind.
 #   email  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -123,10 +123,10 @@ def confirmed_spans(found: Column, held: Column, kind: Kind, order: int) -> Colu
     if kind.name == "iban":
         found = F.transform(found, lambda p: p.withField("match", iban_at(cut(held, p["start"], 2 * IBAN_MOST))))
     near = rf"(?i)(?<!\p{{L}})(?:{kind.context})(?!\p{{L}})"
+    end = lambda p: p["start"] + F.char_length(p["match"])
     scored = F.transform(F.filter(found, lambda p: confirmed(kind.name, p["match"])), lambda p: F.struct(
-        p["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind.name).alias("kind"),
-        (p["start"] + F.char_length(p["match"])).alias("end"),
-        F.least(F.lit(1.0), F.lit(kind.base_score) + F.when(p["before"].rlike(near) | p["after"].rlike(near), BONUS).otherwise(0.0)).alias("score")))
+        p["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind.name).alias("kind"), end(p).alias("end"),
+        F.least(F.lit(1.0), F.lit(kind.base_score) + F.when(before(held, p["start"]).rlike(near) | after(held, end(p)).rlike(near), BONUS).otherwise(0.0)).alias("score")))
     return F.filter(scored, lambda s: s["score"] >= kind.least) if kind.least else scored
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankweave.llm.spans import proposals
+from bankweave.llm.spans import after, before, pieces, proposals
 from bankweave.session import stage
 
 _PLACE = "A-Za-z0-9_+/-"
@@ -46,11 +46,13 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text", path: s
     body = F.col("__text")
     held = docs.select(F.col(doc).alias("doc_id"), *extra, (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     held = held.withColumn("__m", F.when(body.rlike(CANDIDATE), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))).filter(F.size("__m") > 0)
-    held = held.withColumn("__p", F.split(body, CANDIDATE, -1)).drop("__text")
+    held = held.withColumns({"__p": F.split(body, CANDIDATE, -1), "__c": pieces(body)}).drop("__text")
+    spans = F.transform(proposals(F.col("__m"), F.col("__p")), lambda p: p.withField("end", p["start"] + F.char_length(p["match"])))
+    around = F.transform(spans, lambda p: p.withField("before", before(F.col("__c"), p["start"])).withField("after", after(F.col("__c"), p["end"])))
     # The outer form: no filter on the spans is then moved below, where it would find them anew from the text.
-    found = held.withColumn("__f", proposals(F.col("__m"), F.col("__p"))).select("doc_id", *extra, "path", F.explode_outer("__f").alias("f"))
+    found = held.withColumn("__f", around).select("doc_id", *extra, "path", F.explode_outer("__f").alias("f"))
     return found.select(
-        "doc_id", *extra, "path", F.col("f.start").cast("long").alias("start"), (F.col("f.start") + F.char_length("f.match")).cast("long").alias("end"),
+        "doc_id", *extra, "path", F.col("f.start").cast("long").alias("start"), F.col("f.end").cast("long").alias("end"),
         F.col("f.match").alias("token"), F.col("f.before").alias("before"), F.col("f.after").alias("after"))
 
 

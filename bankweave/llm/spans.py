@@ -36,16 +36,13 @@ def _offsets(matches: Column, parts: Column) -> Column:
 
 
 def proposals(matches: Column, parts: Column) -> Column:
-    """Array of (start, match, before, after) from an expression's matches and the parts of the text between them.
+    """Array of (start, match) from an expression's matches and the parts of the text between them.
 
     Both are columns that are there already, as they are read many times.
     """
     n = F.size(matches)
-    rows = F.arrays_zip(
-        _offsets(matches, parts).alias("at"), F.slice(parts, 1, n).alias("part"), matches.alias("match"), F.slice(parts, 2, n).alias("after"))
-    return F.transform(rows, lambda r: F.struct(
-        (r["at"] + F.char_length(r["part"])).alias("start"), r["match"].alias("match"),
-        F.right(r["part"], F.lit(NEAR)).alias("before"), F.left(r["after"], F.lit(NEAR)).alias("after")))
+    rows = F.arrays_zip(_offsets(matches, parts).alias("at"), F.slice(parts, 1, n).alias("part"), matches.alias("match"))
+    return F.transform(rows, lambda r: F.struct((r["at"] + F.char_length(r["part"])).alias("start"), r["match"].alias("match")))
 
 
 def pieces(text: Column) -> Column:
@@ -57,3 +54,13 @@ def cut(held: Column, start: Column, length: Column | int) -> Column:
     """``length`` code points (at most ``_PIECE``, fewer at the text's end) from ``start`` on, from the pieces of a text."""
     first = F.floor(start / _PIECE).cast("int")
     return F.substring(F.array_join(F.slice(held, first + 1, 2), ""), start - first * _PIECE + 1, F.lit(length) if isinstance(length, int) else length)
+
+
+def before(held: Column, start: Column) -> Column:
+    """The ``NEAR`` code points in front of a span, whatever they hold; ``held`` is the text in pieces."""
+    at = F.greatest(start - NEAR, F.lit(0))
+    return cut(held, at, start - at)
+
+
+def after(held: Column, end: Column) -> Column:
+    return cut(held, end, NEAR)

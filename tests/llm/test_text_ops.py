@@ -293,6 +293,28 @@ def test_iban_before_other_places(spark):
         assert [r["text"][s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"] == texts[r["text"]], r["text"][:60]
 
 
+def test_context_reaches_over_other_matches(spark):
+    texts = {
+        "ssn 123-45-6789; 234-56-7890": [("ssn", 4, 15), ("ssn", 17, 28)],
+        "call 555-123-4567, 555-987-6543": [("local_phone", 5, 17), ("local_phone", 19, 31)],
+        "é🙂 " * 101 + "ssn 666-45-6789 " + "123-45-6789": [("ssn", 319, 330)],  # 666 is none, and cuts nothing
+        "123-45-6789, 234-56-7890 ssn": [("ssn", 0, 11), ("ssn", 13, 24)],
+        "ssn" + " " * 38 + "123-45-6789, 234-56-7890": [], "ssn" + " " * 37 + "123-45-6789, 234-56-7890": [("ssn", 40, 51)],
+        "My IBAN is DE89 3704 0044 0532 0130 00, not DE88370400440532013000. ssn 123-45-6789; 123-45-6789. call 555-123-4567 ok, 555-123-4567": [
+            ("iban", 11, 38), ("ssn", 72, 83), ("ssn", 85, 96), ("local_phone", 103, 115), ("local_phone", 120, 132)]}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(docs, pii.MORE).collect():
+        assert [(s["kind"], s["start"], s["end"]) for s in r["pii"]] == texts[r["text"]], r["text"][-60:]
+
+
+def test_words_around_candidates_reach_over_others(spark):
+    token = hashlib.sha1(b"7").hexdigest()
+    text = f'é token = "{token[:20]}", "{token[20:]}" end'
+    rows = secrets.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string")).orderBy("start").collect()
+    assert [(text[r["start"] : r["end"]], r["before"], r["after"]) for r in rows] == [
+        (text[i : i + 20], text[max(0, i - 40) : i], text[i + 20 : i + 60]) for i in (11, 35)]
+
+
 def test_native_plans_have_no_python(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for df in (pii.find_pii(docs), lines.line_dedup(docs), secrets.features(secrets.candidates(docs))):
