@@ -1,4 +1,4 @@
-"""Secret scan: an expression proposes candidates, a random forest removes false positives.
+"""Secret scan: expressions propose candidates (long runs, and values that a word like "password" names), a random forest removes false positives.
 
 The forest is trained from labelled findings on the candidate's length, its character transitions, how much of it
 dictionary words cover, its path and the words around it.  Only built-in expressions and Spark ML are used.
@@ -21,6 +21,10 @@ _PLACE = "A-Za-z0-9_+/-"
 CANDIDATE = rf"(?<![{_PLACE}])(?=[A-Za-z_+/-]*+[0-9])[{_PLACE}]{{16,}}+={{0,2}}"
 # Words that stand before secrets, and before other long tokens.
 SECRET_WORDS = "token|secret|password|passwd|pwd|apikey|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|auth|authorization|bearer|credential|credentials"
+# What a word of these gives its name to: from the word to the value, then the value, closed by its own quote or open.
+_TO_VALUE = rf"(?<![A-Za-z0-9])(?i:{SECRET_WORDS})(?![A-Za-z0-9])[\"'`\])]{{0,3}}(?:\s{{0,3}}(?:[:=]{{1,2}}>?|\bis\b)\s{{0,3}}|\s{{1,3}}(?=[\"'`])|(?<=[Bb]earer|BEARER)\s{{1,3}})"
+ASSIGNED = rf"{_TO_VALUE}(?:\"[^\s\"]{{8,}}+(?=\")|'[^\s']{{8,}}+(?=')|`[^\s`]{{8,}}+(?=`)|[\"'`]?[^\s\"'`]{{7,}}[^\s\"'`.,;:)\]}}>])"
+_IN_FRONT = rf"^{_TO_VALUE}[\"'`]?"
 OTHER_WORDS = "commit|sha1|sha256|md5|checksum|digest|hash|etag|uuid|guid|revision|rev|build|version|integrity|session|trace|request|id|image|file|url|path|example|placeholder|dummy"
 DUMMY_PATHS = "test|tests|fixture|fixtures|example|examples|sample|samples|mock|docs|doc"
 # Words that identifiers and placeholders are made of.
@@ -33,7 +37,7 @@ DICTIONARY = (
 )
 FEATURES = (
     "length", "digit_share", "upper_share", "lower_share", "symbol_share", "vowel_share", "distinct_share", "switches", "letter_switches", "longest_letters",
-    "longest_repeat", "hex", "uuid", "padded", "dictionary", "path_dummy", "slashes", "word_secret", "word_secret_near", "word_other", "assigned", "quoted", "in_url",
+    "longest_repeat", "brackets", "hex", "uuid", "padded", "dictionary", "path_dummy", "slashes", "word_secret", "word_secret_near", "word_other", "assigned", "quoted", "in_url",
 )
 MAX_FINDINGS = 40_000
 TREES, DEPTH = 40, 8
@@ -45,9 +49,18 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text", path: s
     """One row per candidate: ``doc_id``, ``start`` and ``end`` (code points, end exclusive), the token and its surroundings."""
     body = F.col("__text")
     held = docs.select(F.col(doc).alias("doc_id"), *extra, (F.col(path) if path else F.lit(None)).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    held = held.withColumn("__m", F.when(body.rlike(CANDIDATE), F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))).filter(F.size("__m") > 0)
-    held = held.withColumns({"__p": F.split(body, CANDIDATE, -1), "__c": pieces(body)}).drop("__text")
-    spans = F.transform(proposals(F.col("__m"), F.col("__p")), lambda p: p.withField("end", p["start"] + F.char_length(p["match"])))
+    found = {i: F.when(body.rlike(x), F.regexp_extract_all(body, F.lit(x), F.lit(0))) for i, x in enumerate((CANDIDATE, ASSIGNED))}
+    held = held.withColumns({f"__m{i}": x for i, x in found.items()}).filter((F.size("__m0") > 0) | (F.size("__m1") > 0))
+    held = held.withColumns({
+        "__p0": F.when(F.size("__m0") > 0, F.split(body, CANDIDATE, -1)), "__p1": F.when(F.size("__m1") > 0, F.split(body, ASSIGNED, -1)), "__c": pieces(body)}).drop("__text")
+    runs, values = (F.when(F.col(f"__p{i}").isNotNull(), proposals(F.col(f"__m{i}"), F.col(f"__p{i}"))) for i in (0, 1))
+    values = F.transform(values, lambda p: F.struct(
+        (p["start"] + F.char_length(F.regexp_extract(p["match"], _IN_FRONT, 0))).alias("start"), F.regexp_replace(p["match"], _IN_FRONT, "").alias("match")))
+    none = F.array().cast("array<struct<start:int,match:string>>")
+    held = held.withColumn("__s", F.array_sort(F.concat(F.coalesce(runs, none), F.coalesce(values, none))))
+    # A span that both expressions propose counts once.
+    once = F.filter("__s", lambda p, i: (i == 0) | (F.get("__s", i - 1) != p))
+    spans = F.transform(once, lambda p: p.withField("end", p["start"] + F.char_length(p["match"])))
     around = F.transform(spans, lambda p: p.withField("before", before(F.col("__c"), p["start"])).withField("after", after(F.col("__c"), p["end"])))
     # The outer form: no filter on the spans is then moved below, where it would find them anew from the text.
     found = held.withColumn("__f", around).select("doc_id", *extra, "path", F.explode_outer("__f").alias("f"))
@@ -71,6 +84,7 @@ def features(found: DataFrame) -> DataFrame:
         "letter_switches": share("(?<=[aeiou])[b-df-hj-np-tv-z]|(?<=[b-df-hj-np-tv-z])[aeiou]"),
         "longest_letters": longest(F.regexp_extract_all(token, F.lit("[A-Za-z]+"), F.lit(0))),
         "longest_repeat": longest(F.regexp_extract_all(token, F.lit(r"(.)\1+"), F.lit(0))),
+        "brackets": share(r"[(){}\[\]<>]"),
         "hex": flag(token.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")), "uuid": flag(token.rlike("^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")),
         "padded": flag(token.endswith("=")),
         "dictionary": 1 - F.char_length(F.regexp_replace(F.lower(token), "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / n,
@@ -112,12 +126,18 @@ _HEX40, _HEX64, _HEX32 = "sha1(seed)", "sha2(seed, 256)", "md5(seed)"
 _RANDOM = "replace(replace(base64(unhex(sha2(seed, 256))), '+', 'x'), '/', 'Q')"
 _UUID = "concat_ws('-', substr(md5(seed), 1, 8), substr(md5(seed), 9, 4), substr(md5(seed), 13, 4), substr(md5(seed), 17, 4), substr(md5(seed), 21, 12))"
 _SLUG = "concat(w1, '-', w2, '-', w3, '-', substr(md5(seed), 1, 2), '1')"
+_WORDS = "concat(w1, w2, w3, substr(translate(md5(seed), '0123456789', 'ghijklmnop'), 1, 8))"  # letters alone
+_MIXED = "concat(initcap(substr(w1, 1, 6)), substr(translate(md5(seed), 'abcdef', '012345'), 1, 2), element_at(array('!', '.', '&', '#', '@', '$', ':'), 1 + pmod(hash(seed), 7)), initcap(substr(w2, 1, 6)), substr(md5(seed), 3, 3))"
+_SHORT = "concat(substr(replace(replace(base64(unhex(md5(seed))), '+', '.'), '/', '@'), 1, 9), element_at(array('!', '?', '-', '#', '%', '*'), 1 + pmod(hash(seed), 6)))"
 _NAME = "concat('example_', w1, '_value_', w2, '_0001')"
 TEMPLATES = (
     (1, '{w} token = "', _HEX40, '" {w}', "{s}"), (1, "{w} secret: ", _RANDOM, " {w}", "{s}"), (1, "{w} api_key='", _HEX32, "' {w}", "{s}"),
     (1, '{w} password = "', f"substr({_RANDOM}, 1, 20)", '" {w}', "{s}"), (1, "Authorization: Bearer ", _RANDOM, " {w}", "{s}"),
     (1, '{w} TOKEN = "', f"upper({_HEX40})", '"!! {w}', "{s}"), (1, '{w} access_key: "', f"upper(substr({_RANDOM}, 1, 20))", '" {w}', "src/main"),
     (1, '{w} client_secret="', _HEX64, '"', "src/config"), (1, '{w}&&& token = "', _HEX40, '"### {w}', "{s}"),
+    (1, '{w} password = "', _MIXED, '" {w}', "{s}"), (1, "{w} pwd: '", _SHORT, "' {w}", "{s}"), (1, '{w} secret = "', _WORDS, '" {w}', "{s}"), (1, "{w} passwd=", _MIXED, " {w}", "{s}"),
+    (0, "{w} token = ", "concat('get_', w1, '(', w2, ')')", " {w}", "{s}"), (0, "{w} password: ", "concat('required_', w1)", " {w}", "{s}"), (0, "{w} auth: ", "concat('${', w1, '.', w2, '}')", " {w}", "{s}"),
+    (0, '{w} password = "', "concat('<your-', w1, '>')", '" {w}', "{s}"), (0, '{w} secret = "', "'changeme_default'", '" {w}', "{s}"), (0, "{w} the secret is ", "concat(w1, w2)", ", {w}", "{s}"),
     (0, "{w} commit ", _HEX40, " {w}", "{s}"), (0, "{w} sha256: ", _HEX64, " {w}", "{s}"), (0, "{w} md5 = ", _HEX32, " {w}", "{s}"),
     (0, '{w} uuid = "', _UUID, '" {w}', "{s}"), (0, "{w} see https://www.example.com/", _SLUG, " {w}", "{s}"), (0, "{w} {w} ", _SLUG, " {w}", "{s}"),
     (0, '{w} password = "', _NAME, '" {w}', "docs/examples"), (0, "{w} id: ", _UUID, " {w}", "{s}"), (0, '{w} token = "', "concat('xxxxxxxxxxxxxxxx', '0000')", '" {w}', "tests/fixtures"),

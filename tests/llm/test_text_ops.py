@@ -345,6 +345,26 @@ def test_secret_scan(spark, forest):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string"), forest).count() == 0
 
 
+def test_short_and_wordlike_values_are_proposed(spark):
+    digest = hashlib.sha1(b"7").hexdigest()
+    texts = {
+        'password = "hunter2!Blue"': ["hunter2!Blue"], 'pwd: "Tr0ub4dor&3-horse"': ["Tr0ub4dor&3-horse"], 'secret = "correcthorsebatterystaple"': ["correcthorsebatterystaple"],
+        "é🙂 PASSWORD='a.b:c$d@e#f', x": ["a.b:c$d@e#f"], '{"api_key": "k9.K9!k9"}': ["k9.K9!k9"], "passwd=pa55w.rd then": ["pa55w.rd"], "the password is swordfish1.": ["swordfish1"],
+        "Authorization: Bearer abc.def.ghi": ["abc.def.ghi"], f'token = "{digest}" {digest}': [digest, digest], 'password = "short"': [], "a password of mine": [], 'name = "hunter2!Blue"': [],
+        "pwd = `it's\"fine`": ["it's\"fine"], "token: x!y\nsecret": [], 'secret="aaa!bbbb" ' * 70: ["aaa!bbbb"] * 70}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(secrets.candidates(docs).collect(), key=lambda r: (r["doc_id"], r["start"]))
+    for i, (text, want) in enumerate(texts.items()):
+        got = [r for r in rows if r["doc_id"] == i]
+        assert [r["token"] for r in got] == want and all(text[r["start"] : r["end"]] == r["token"] for r in got), text[:60]
+
+
+def test_short_values_are_found(spark, forest):
+    texts = ['my password = "hunter2!Blue" here', 'then pwd: "Tr0ub4dor&3-horse" there', 'the password = "required_field" is', "a token = get_session(user) call"]
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), forest).collect()}
+    assert got[0] and got[1] and not got[2] and not got[3]
+
+
 def test_secret_forest_on_held_out_findings(spark, sf_dir, forest):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy(F.xxhash64("doc_id").desc()).limit(60)
     scored = forest.transform(secrets.features(secrets.labelled_findings(docs)))
