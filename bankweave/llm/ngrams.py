@@ -144,7 +144,7 @@ def verify(cells: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
     key = ("__leader", "__a", "__b")
 
     def links_of(rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
-        rows = list({r[3]: r for r in rows}.values())  # repeated input rows come twice
+        rows = list({r[3]: r for r in rows}.values())
         if len(rows) < 2:
             return
         leader, a, b = rows[0][:3]
@@ -234,9 +234,14 @@ def ngram_join(
         .select("__leader", F.ceil(F.greatest(F.col("__n") / block_docs, F.col("__ngrams") / block_ngrams)).cast("int").alias("__blocks")), "groups",
     )
     of = members.groupBy("__rid", "__copies", "__doc", "__hash").agg(F.sort_array(F.collect_set("__leader")).alias("__leaders"))
-    bodies = docs.select(F.col(doc).alias("__id"), F.xxhash64(text).alias("__h"), F.col(text).alias("__text"))
+    # One text for each id and hash, or a row that stands many times would come to its cells as often.  A struct holds the id, as
+    # it is never null: the join then needs no other order than the aggregation's.
+    key = [F.struct(F.col("__doc").alias("id")).alias("__id"), F.col("__hash").alias("__h")]
+    bodies = (
+        docs.select(F.col(doc).alias("__doc"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text"))
+        .groupBy(*key).agg(F.first("__text").alias("__text")))
     # A merge join at every size: the candidates grow with the input, so they are no side to broadcast.
-    with_text = of.hint("merge").join(bodies, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")))
+    with_text = of.select("__rid", "__copies", "__leaders", *key).hint("merge").join(bodies, ["__id", "__h"])
     block = F.pmod(F.xxhash64("__rid"), "__blocks").cast("int")
     cells = (
         with_text.select("__rid", "__copies", "__leaders", "__text", F.explode("__leaders").alias("__leader"))

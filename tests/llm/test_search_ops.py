@@ -133,6 +133,22 @@ def test_ngram_join_by_hand(spark, blocks):
     assert sum(r["first"] for r in got) == len({r["class_id"] for r in got}) and lone == 3
 
 
+def test_repeated_rows_come_to_a_cell_once(spark, monkeypatch):
+    rng = random.Random(8)
+    text, lone = words(rng, 80), words(rng, 90)
+    rows = [(1, text)] * 60 + [(2, text + " one more")] + [(None, lone)] * 40 + [(3, lone + " one more"), (None, None), (4, None), (None, "")]
+    seen, verify = [], ngrams.verify
+
+    def watched(cells, *args):
+        seen.extend(cells.groupBy("__leader", "__a", "__b", "__rid").count().collect())
+        return verify(cells, *args)
+
+    monkeypatch.setattr(ngrams, "verify", watched)
+    got = collections.Counter((r["doc_id"], r["class_id"], r["n_links"], r["copies"]) for r in ngrams.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert seen and all(r["count"] == 1 for r in seen)
+    assert got == collections.Counter({(1, 1, 60, 60): 60, (2, 1, 60, 1): 1, (None, 3, 40, 40): 40, (3, 3, 40, 1): 1, (None, None, 0, 1): 2, (4, 4, 0, 1): 1})
+
+
 def test_ngram_join_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngrams.ngram_join(docs).count() == 0
