@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls
+from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls, whitening
 from bankweave.llm.common import read
 from bankweave.session import stage
 
@@ -163,6 +163,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"))
 
 
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A deviation beyond the range of a long is null here; the operator gives 38 digits.
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
