@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls, whitening
+from bankweave.llm import alignment, langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls, whitening
 from bankweave.llm.common import read
 from bankweave.session import stage
 
@@ -16,11 +16,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary that the box offers; operators take the path as a parameter."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public vocabulary that the box offers; operators take the path as a parameter."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
@@ -163,6 +163,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("pii")).alias("spans"))
 
 
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"), "n_shared")
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A deviation beyond the range of a long is null here; the operator gives 38 digits.
