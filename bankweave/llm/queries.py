@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankweave.llm import alignment, langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, urls, whitening
+from bankweave.llm import alignment, langid, lines, mixing, ngrams, packing, pii, quality, secrets, topk, toxicity, urls, whitening
 from bankweave.llm.common import read
-from bankweave.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,8 +128,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, size, source_size, target,
       CAST(size * least(floor(u + r * nth) - floor(u + r * (nth - 1)), 2) AS BIGINT) AS taken FROM o""")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = stage(mixing.sized(read(spark, sf_dir, "documents")).select("doc_id", "source", "size"), "sizes")
-    mixed = mixing.mix_sizes(sizes)
+    mixed = mixing.mix_sizes(mixing.parted(mixing.sized(read(spark, sf_dir, "documents")).select("doc_id", "source", "size")))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -170,6 +168,15 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"), "n_shared")
 
 
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A deviation beyond the range of a long is null here; the operator gives 38 digits.
