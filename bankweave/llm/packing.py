@@ -10,10 +10,8 @@ from __future__ import annotations
 import json
 import re
 import struct
-import sys
 import zlib
 from collections.abc import Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +22,8 @@ from pyspark.sql import types as T
 from bankweave.llm.common import bound_batches, text_chunks
 
 END = (0).to_bytes(4, "little")
-CACHE = 800_000  # words whose ids a worker keeps, about 200 bytes each
+# Words whose ids a task keeps, and the longest of them: 32 MB at most, as a word takes about 200 bytes.
+CACHE, LONGEST = 150_000, 40
 # Fixed value: how a byte-level vocabulary of this kind splits a text.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space other than the blank and the line feed.
@@ -55,10 +54,10 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            self.vocabulary = json.load(file)
-        special = {t["content"] for t in self.vocabulary["added_tokens"]}
+            vocabulary = json.load(file)
+        special = {t["content"] for t in vocabulary["added_tokens"]}
         of = _byte_of()
-        ranks = {bytes(map(of.__getitem__, t)): i for t, i in self.vocabulary["model"]["vocab"].items() if t not in special}
+        ranks = {bytes(map(of.__getitem__, t)): i for t, i in vocabulary["model"]["vocab"].items() if t not in special}
         self.words = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.marks = tuple(special)
         self.path, self.library, self.known, self.most = path, None, {}, most
@@ -84,20 +83,17 @@ class Encoder:
         try:
             return self._word(first) + b"".join(map(known.__getitem__, words))
         except KeyError:
-            if len(known) > self.most:
-                known.clear()
+            parts = [self._word(first)]
             for w in words:
-                if w not in known:
-                    known[w] = self._word(" " + w)
-            return self._word(first) + b"".join(map(known.__getitem__, words))
-
-
-def worker_encoder(path: str) -> Encoder:
-    """The encoder of this worker process, so that later tasks find the words that earlier ones met."""
-    kept = sys.modules.setdefault("_bankweave_encoders", ModuleType("_bankweave_encoders")).__dict__
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+                ids = known.get(w)
+                if ids is None:
+                    ids = self._word(" " + w)
+                    if len(w) <= LONGEST:
+                        if len(known) >= self.most:
+                            known.clear()
+                        known[w] = ids
+                parts.append(ids)
+            return b"".join(parts)
 
 
 class Packer:
@@ -108,6 +104,7 @@ class Packer:
         self.counts = np.zeros(size + 1, np.int64)  # windows by level; the last one, full windows, stays 0
         self.open: list[list[list]] = [[] for _ in range(size)]
         self.held, self.full = 0, []
+        self.moved = 0  # pieces taken out of the window that the rule chose
 
     def add(self, doc, ids: bytes) -> None:
         total = len(ids) // 4
@@ -144,22 +141,29 @@ class Packer:
             self.open[level + n].append(window)
 
     def merge(self) -> None:
-        """Cut what stands in partly filled windows, fullest first, into full windows and at most one rest."""
-        pieces = [p for level in reversed(self.open) for window in level for p in window]
-        self.open, self.held = [[] for _ in range(self.size)], 0
+        """Fill up the fullest of the partly filled windows by cutting what stands in the emptiest.
+
+        As many windows stay as the ids held can fill; what the rule placed there stays in place.  At most one rest is left open.
+        """
+        windows = [(level, w) for level in range(self.size - 1, 0, -1) for w in self.open[level]]
+        keep = self.held // self.size
+        rest = [p for _, w in windows[keep:] for p in w]
+        self.moved += len(rest)
+        self.open, self.held = [[] for _ in range(self.size)], self.held % self.size
         self.counts[:] = 0
-        window, fill = [], 0
-        for piece in pieces:
-            while piece:
-                head, piece = cut(piece, self.size - fill)
+        rest.reverse()
+        for level, window in windows[:keep]:
+            gap = self.size - level
+            while gap:
+                head, left = cut(rest.pop(), gap)
+                if left:
+                    rest.append(left)
                 window.append(head)
-                fill += head[2]
-                if fill == self.size:
-                    self.full.append(window)
-                    window, fill = [], 0
-        if window:
-            self.open[fill].append(window)
-            self.counts[fill], self.held = 1, fill
+                gap -= head[2]
+            self.full.append(window)
+        if rest:
+            self.open[self.held].append(rest[::-1])
+            self.counts[self.held] = 1
 
     def close(self) -> None:
         """Merge what is left; the last rest is cut into windows whose lengths are powers of two, which need no padding."""
@@ -194,9 +198,9 @@ def pack(
 
     ``tokenizer`` is the path of a vocabulary file that every executor can read.  Every document ends with id 0; a
     null or empty text is that id alone.  Repeated rows are packed as often as they come, a null id passes through,
-    other columns are left out.  An empty table gives no row.  Windows hold at most ``size`` ids.  When partly
-    filled windows of a partition hold over ``most_open`` ids, they are merged by cutting, which bounds memory for any
-    sizes.  Sequence ids hold the partition in their upper bits.  ``with_ids`` adds the ids of each piece.
+    other columns are left out.  An empty table gives no row.  Windows hold at most ``size`` ids.  At the end of a partition, and
+    when its partly filled windows hold over ``most_open`` ids, the fullest are filled up from the emptiest by cutting, which bounds memory for
+    any sizes and leaves no padding.  Sequence ids hold the partition in their upper bits.  ``with_ids`` adds the ids of each piece.
     """
     bound_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *_PIECES.fields[1:]])
@@ -206,7 +210,7 @@ def pack(
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = worker_encoder(tokenizer), Packer(size, most_open)
+        encoder, packer = Encoder(tokenizer), Packer(size, most_open)
         number = TaskContext.get().partitionId() << 40
 
         def rows() -> pa.RecordBatch:
