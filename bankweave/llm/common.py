@@ -23,6 +23,12 @@ def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def frequent(docs: DataFrame, column: str, most: int) -> list[tuple[str, int]]:
+    """The ``most`` most frequent values of a column, and their counts; of ties the first by name."""
+    counts = docs.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).filter(F.col("value").isNotNull())
+    return [(r["value"], r["n"]) for r in counts.orderBy(F.desc("n"), "value").limit(most).collect()]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankweave.llm.common import bound_batches, text_chunks
+from bankweave.llm.common import bound_batches, frequent, text_chunks
+from bankweave.session import stage
 
 ORDER = 4
 FIRST, LAST = "\x02", "\x03"  # stand before and after every word
 MAX_DOCS = 2000
+MAX_LANGS = 1000
 REJECT = 0.999  # share of a language's own texts that its limit accepts
 CACHE = 300_000
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -34,13 +36,19 @@ def words_of(text: str) -> list[str]:
     return _LETTERS.findall(text.lower())
 
 
-def sample(docs: DataFrame, learn: Column, most: int, doc: str, lang: str) -> DataFrame:
+def sample(docs: DataFrame, learn: Column, most: int, doc: str, lang: str, most_langs: int = MAX_LANGS) -> DataFrame:
     """About ``most`` documents per language for fitting, all if there are fewer: those whose id hashes into the share that the
-    language's count asks for.  Only the counts, a row a language, are gathered."""
+    language's count asks for.  Of more than ``most_langs`` languages the most frequent are learned.
+
+    Only the counts, a row a language, are gathered.  Rows are chosen where they lie, so no text is shuffled.
+    """
     usable = docs.filter(learn & F.col(lang).isNotNull() & F.col(doc).isNotNull())
     place = (F.xxhash64(F.col(doc)).cast("double") / 2.0**63 + 1) / 2
-    shares = usable.groupBy(F.col(lang).alias("__lang")).agg((F.lit(float(most)) / F.count("*")).alias("__share"))
-    return usable.join(shares, (F.col(lang) == F.col("__lang")) & (place < F.col("__share"))).drop("__lang", "__share")
+    shares = {name: min(1.0, most / n) for name, n in frequent(usable, lang, most_langs)}
+    if not shares:
+        return usable.limit(0)
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+    return usable.filter(F.coalesce(place < F.try_element_at(share, F.col(lang)), F.lit(False)))
 
 
 def count_grams(sampled: DataFrame, lang: str, text: str) -> DataFrame:
@@ -179,11 +187,12 @@ def fit(
 ) -> Model:
     """Model from about ``max_docs`` labelled documents a language, of those where ``learn`` holds.
 
-    That bound, an expected number, is a parameter of the fit alone; it also bounds the n-gram counts that come to the driver.  Rows without language,
-    id or text are not used.  Repeated ids count each.  The limit of each language is calibrated on the same documents.
+    That bound, an expected number, is a parameter of the fit alone; it also bounds the n-gram counts that come to the driver, and the stored
+    sample that both passes of the fit read.  Rows without language, id or text are not used.  Repeated ids count each.  The limit of each language is calibrated on the same documents.
     """
     bound_batches(docs.sparkSession)
     sampled = sample(docs, F.lit(True) if learn is None else learn, max_docs, doc, lang).filter(F.col(text).isNotNull())
+    sampled = stage(sampled.select(doc, lang, text), "language-sample")
     counts: dict[str, dict[str, int]] = defaultdict(dict)
     for r in count_grams(sampled, lang, text).collect():
         counts[r["lang"]][r["gram"]] = r["n"]
