@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bankweave.llm.common import bound_batches, text_chunks
+from bankweave.llm.common import bound_batches, frequent, text_chunks
+from bankweave.session import stage
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -26,6 +27,7 @@ MAX_REPEATED = 30  # per cent
 SYMBOLS = b"#*$%&|<>"
 SHARE = 1000  # a common word makes up at least one in so many words
 COUNTERS = 4 * SHARE
+MAX_LANGS = 1000
 # A distance counts as strange over LIMIT + SLACK / sqrt(length): short histograms are noisy.  Under the least
 # length a histogram says too little and is not judged.
 CHAR_LIMIT, CHAR_SLACK, CHAR_LEAST = 0.17, 2.0, 100
@@ -104,10 +106,11 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def common_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
-    """Candidates for the common words of each language: all words with a share of 1 / SHARE in some task's rows.
+    """Candidates for the common words of each language: every word with a share of 1 / SHARE of its words, and few others.
 
-    Each task keeps ``COUNTERS`` Misra-Gries counters per language, whose counts fall short by at most 1 / COUNTERS of the
-    words seen.  A word that is common over all rows is so in one task at least, so none is missed.
+    Each task keeps ``COUNTERS`` Misra-Gries counters per language, which fall short by at most 1 / COUNTERS of the words that
+    it saw.  Summed over all tasks, a word's counters fall short by at most 1 / COUNTERS of all words, so none is missed; as
+    they sum to no more than all words, at most SHARE * 4 / 3 words a language pass, however many tasks there are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
@@ -122,11 +125,16 @@ def common_words(docs: DataFrame, lang: str, text: str) -> DataFrame:
                 if len(own) > COUNTERS:
                     bar = sorted(own.values(), reverse=True)[COUNTERS]
                     counters[name] = Counter({w: c - bar for w, c in own.items() if c > bar})
-        rows = [(n, w.decode()) for n, own in counters.items() for w, c in own.items() if c + seen[n] / COUNTERS >= seen[n] / SHARE]
+        rows = [(n, w.decode(), c) for n, own in counters.items() for w, c in own.items()] + [(n, None, c) for n, c in seen.items()]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["lang", "word"])
+            kinds = [pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["lang", "word", "n"])
 
-    return docs.select(lang, text).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).mapInArrow(run, "lang string, word string").distinct()
+    held = docs.select(lang, text).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    counted = stage(held.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "common-words")
+    seen = counted.filter("word IS NULL").select("lang", F.col("n").alias("seen"))
+    enough = F.col("n") + F.col("seen") / COUNTERS >= F.col("seen") / SHARE
+    return counted.filter("word IS NOT NULL").join(seen, "lang").filter(enough).select("lang", "word")
 
 
 class References:
@@ -143,11 +151,16 @@ class References:
                 self.shares[i, self.vocabulary[w.encode()]] = c / n
 
 
-def fit_references(docs: DataFrame, lang: str = "lang", text: str = "text") -> References:
-    """References from all documents with a language and a text; languages are taken to be few (a row each on the driver)."""
+def fit_references(docs: DataFrame, lang: str = "lang", text: str = "text", most_langs: int = MAX_LANGS) -> References:
+    """References from all documents with a language and a text; of more than ``most_langs`` languages the most frequent have one.
+
+    The driver and the tasks hold at most SHARE * 4 / 3 words and a histogram a language.
+    """
     bound_batches(docs.sparkSession)
+    known = [name for name, _ in frequent(docs, lang, most_langs)]
+    docs = docs.filter(F.col(lang).isin(known))
     candidates: dict[str, list[str]] = {}
-    for r in common_words(docs, lang, text).collect():  # at most SHARE * 4 / 3 words a language and task share
+    for r in common_words(docs, lang, text).collect():
         candidates.setdefault(r["lang"], []).append(r["word"])
     wanted = {name: {w.encode() for w in words} for name, words in candidates.items()}
     names = sorted(candidates)
