@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,14 @@ from bankweave.llm.common import bound_batches
 
 # (host and path, verdict): the rule holds for the host, its subdomains and paths that start so.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-# Hosts of link spam, gambling and adult sites.  ``*`` stays within a host or path segment, ``**`` does not.
-BLOCKED = tuple(
-    f"*{word}*{rest}" for word in ("casino", "poker", "jackpot", "-bets", "bets-", "betting", "adult-", "-adult", "porn", "xxx", "escort", "viagra", "spam-", "-spam", "malware", "phishing", "warez")
-    for rest in ("", "/**")
+# Words in hosts of link spam, gambling, adult and malware sites.  ``*`` stays within a host or path segment, ``**`` does not.
+WORDS = (
+    "casino", "poker", "jackpot", "roulette", "blackjack", "baccarat", "slotmachine", "-slots", "slots-", "-bets", "bets-", "betting", "sportsbook", "bookmaker", "gambling", "bingo-", "-bingo",
+    "lottery", "adult-", "-adult", "porn", "xxx", "xvideo", "escort", "hentai", "camgirl", "livesex", "sexcam", "nsfw", "milf", "viagra", "cialis", "levitra", "tramadol", "-pharmacy", "pharmacy-",
+    "weightloss", "payday-loan", "paydayloan", "quick-loans", "spam-", "-spam", "linkfarm", "seo-links", "backlinks", "buy-followers", "malware", "phishing", "keylogger", "ransomware",
+    "warez", "-crack", "crackz", "keygen", "torrentz", "nulled-", "essay-writing", "replica-watch", "fakeid-", "free-iphone", "crypto-giveaway",
 )
+BLOCKED = tuple(f"*{word}*{rest}" for word in WORDS for rest in ("", "/**"))
 _START = 0x110000  # stands before the first character of every URL
 _BLOCK = 1 << 20
 
@@ -80,6 +84,8 @@ def compile_globs(globs: Sequence[str]) -> Automaton:
 def match(automaton: Automaton, texts: Sequence[str]) -> np.ndarray:
     """For every text and pattern: whether the pattern fits the whole text."""
     hits = np.zeros((len(texts), len(automaton.last)), bool)
+    if not automaton.last:
+        return hits
     order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
     start = 0
     while start < len(order):  # texts of about the same length go together, a bounded number of characters at a time
@@ -127,19 +133,43 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(F.translate(host, upper, upper.lower()), F.lit("")), F.coalesce(path, F.lit(""))
 
 
+def canonical(host: str, path: str) -> tuple[str, str]:
+    """Host and path as a browser would resolve them: without user part, port and last dots, with escapes undone and dot segments
+    taken away; the host in lower case."""
+    host = _unescape(host.rpartition("@")[2])
+    name, colon, port = host.rpartition(":")
+    if colon and all(c in "0123456789" for c in port):  # as far as it is no part of a bracketed address
+        host = name
+    segments: list[str] = []
+    parts = _unescape(path).split("/")
+    for i, part in enumerate(parts):
+        if part in (".", ".."):
+            if part == ".." and len(segments) > 1:
+                segments.pop()
+            if i == len(parts) - 1:
+                segments.append("")
+        else:
+            segments.append(part)
+    return host.rstrip(".").lower(), "/".join(segments)
+
+
+def _unescape(text: str) -> str:
+    return unquote(text, errors="replace") if "%" in text else text
+
+
 def filter_urls(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, blocked: Sequence[str] = BLOCKED, url: str = "url",
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and ``blocked_by``.
 
-    Of the rules that fit, the longest decides (of equal ones, the first listed).  If none fits, a URL that fits a
-    pattern of ``blocked`` is blocked and any other allowed.  Rules and patterns run in one automaton over host and
-    path.  A URL that is null or has no ``://`` has an empty host and path, fits nothing and is allowed.  Rows
+    Of the rules that fit, the longest decides (of equal ones, the first listed).  If none fits, a URL whose canonical form fits a
+    pattern of ``blocked`` is blocked and any other allowed.  Rules run over host and path as they stand, the patterns over
+    the canonical ones (``canonical``), all rules and all patterns at once in an automaton each.  A URL that is null or has no ``://`` has an empty host and path, fits nothing and is allowed.  Rows
     are judged one by one, so repeated rows, an empty table and long URLs need no care; columns of ``pages`` named
     like the added ones are replaced.
     """
-    globs = [g for rule, _ in rules for g in (f"{rule}**", f"*.{rule}**")] + list(blocked)
-    automaton = compile_globs(globs)
+    fits = compile_globs([g for rule, _ in rules for g in (f"{rule}**", f"*.{rule}**")])
+    bad = compile_globs(blocked)
     order = sorted(range(len(rules)), key=lambda i: (len(rules[i][0]), -i))  # the last fitting one in this order decides
     names, verdicts = [r for r, _ in rules], [v for _, v in rules]
     added = ["host", "path", "rule", "verdict", "blocked_by"]
@@ -152,11 +182,11 @@ def filter_urls(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            hits = match(automaton, [h + p for h, p in zip(hosts, paths)])
+            hits = match(fits, [h + p for h, p in zip(hosts, paths)])
+            own = match(bad, ["".join(canonical(h, p)) for h, p in zip(hosts, paths)])
             winner = np.full(len(hosts), -1)
             for i in order:
                 winner[hits[:, 2 * i] | hits[:, 2 * i + 1]] = i
-            own = hits[:, 2 * len(rules) :]
             found = np.where(own.any(axis=1), own.argmax(axis=1), -1) if own.shape[1] else np.full(len(hosts), -1)
             rule = [names[w] if w >= 0 else None for w in winner]
             verdict = [verdicts[w] if w >= 0 else "block" if f >= 0 else "allow" for w, f in zip(winner, found)]
