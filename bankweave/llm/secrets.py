@@ -27,13 +27,17 @@ ASSIGNED = rf"{_TO_VALUE}(?:\"[^\s\"]{{8,}}+(?=\")|'[^\s']{{8,}}+(?=')|`[^\s`]{{
 _IN_FRONT = rf"^{_TO_VALUE}[\"'`]?"
 OTHER_WORDS = "commit|sha1|sha256|md5|checksum|digest|hash|etag|uuid|guid|revision|rev|build|version|integrity|session|trace|request|id|image|file|url|path|example|placeholder|dummy"
 DUMMY_PATHS = "test|tests|fixture|fixtures|example|examples|sample|samples|mock|docs|doc"
-# Words that identifiers and placeholders are made of.
+# Words that identifiers, file names and placeholders are made of.
 DICTIONARY = (
-    "about", "account", "action", "address", "build", "change", "client", "code", "common", "config", "count", "create", "data", "date", "default",
-    "demo", "docs", "dummy", "example", "file", "first", "from", "group", "home", "html", "http", "https", "image", "index", "item", "list", "local", "main", "message",
-    "model", "name", "number", "object", "order", "page", "path", "place", "product", "public", "query", "random", "report", "sample", "search", "server", "service",
-    "sign", "string", "style", "table", "test", "text", "that", "their", "there", "this", "time", "title", "type", "update", "user", "value", "version", "view", "with",
-    "word", "world", "your", "xxxx", "1234", "0000",
+    "able", "about", "access", "account", "action", "active", "address", "admin", "after", "agent", "alert", "array", "asset", "async", "backup", "base", "batch", "before", "block", "board", "branch", "browser",
+    "buffer", "build", "button", "cache", "call", "card", "center", "change", "check", "class", "client", "cloud", "code", "color", "column", "commit", "common", "component", "config", "connect", "content",
+    "control", "count", "create", "credential", "current", "data", "date", "debug", "default", "delete", "demo", "device", "docs", "domain", "driver", "dummy", "email", "enable", "error", "event", "example", "export",
+    "factory", "field", "file", "filter", "first", "form", "from", "function", "global", "group", "handler", "hash", "header", "history", "home", "host", "html", "http", "https", "image", "import", "index", "init", "input",
+    "insert", "instance", "internal", "item", "java", "just", "label", "last", "layer", "library", "limit", "link", "list", "load", "local", "login", "manager", "master", "match", "member", "message", "method", "mode", "model",
+    "module", "name", "network", "next", "node", "null", "number", "object", "order", "output", "page", "param", "parent", "password", "path", "place", "plugin", "print", "product", "project", "public", "query", "random", "read", "release",
+    "report", "request", "required", "resource", "response", "result", "return", "sample", "schema", "script", "search", "secret", "server", "service", "session", "setting", "shared", "sign", "simple", "source", "start", "state", "static",
+    "status", "storage", "store", "string", "style", "system", "table", "target", "task", "test", "text", "that", "their", "there", "this", "time", "title", "token", "type", "update", "user", "value", "version",
+    "view", "with", "word", "world", "your", "xxxx", "1234", "0000",
 )
 FEATURES = (
     "length", "digit_share", "upper_share", "lower_share", "symbol_share", "vowel_share", "distinct_share", "switches", "letter_switches", "longest_letters",
@@ -133,8 +137,8 @@ _NAME = "concat('example_', w1, '_value_', w2, '_0001')"
 TEMPLATES = (
     (1, '{w} token = "', _HEX40, '" {w}', "{s}"), (1, "{w} secret: ", _RANDOM, " {w}", "{s}"), (1, "{w} api_key='", _HEX32, "' {w}", "{s}"),
     (1, '{w} password = "', f"substr({_RANDOM}, 1, 20)", '" {w}', "{s}"), (1, "Authorization: Bearer ", _RANDOM, " {w}", "{s}"),
-    (1, '{w} TOKEN = "', f"upper({_HEX40})", '"!! {w}', "{s}"), (1, '{w} access_key: "', f"upper(substr({_RANDOM}, 1, 20))", '" {w}', "src/main"),
-    (1, '{w} client_secret="', _HEX64, '"', "src/config"), (1, '{w}&&& token = "', _HEX40, '"### {w}', "{s}"),
+    (1, '{w} TOKEN: "', f"upper({_HEX40})", '", {w}', "{s}"), (1, '{w} access_key: "', f"upper(substr({_RANDOM}, 1, 20))", '" {w}', "src/main"),
+    (1, '{w} client_secret="', _HEX64, '"', "src/config"),
     (1, '{w} password = "', _MIXED, '" {w}', "{s}"), (1, "{w} pwd: '", _SHORT, "' {w}", "{s}"), (1, '{w} secret = "', _WORDS, '" {w}', "{s}"), (1, "{w} passwd=", _MIXED, " {w}", "{s}"),
     (0, "{w} token = ", "concat('get_', w1, '(', w2, ')')", " {w}", "{s}"), (0, "{w} password: ", "concat('required_', w1)", " {w}", "{s}"), (0, "{w} auth: ", "concat('${', w1, '.', w2, '}')", " {w}", "{s}"),
     (0, '{w} password = "', "concat('<your-', w1, '>')", '" {w}', "{s}"), (0, '{w} secret = "', "'changeme_default'", '" {w}', "{s}"), (0, "{w} the secret is ", "concat(w1, w2)", ", {w}", "{s}"),

@@ -76,6 +76,19 @@ def test_url_filter_edges(spark):
     assert urls.filter_urls(pages.limit(0)).count() == 0
 
 
+def test_patterns_run_over_the_canonical_url(spark):
+    rows = [
+        ("http://c%61sino.com/x", "block"), ("http://CASINO.com.:8080/", "block"), ("http://spam-x@good.com/", "allow"), ("http://u:p@casino.example.fr/", "block"), ("http://casino@good.com", "allow"),
+        ("http://good.com:80/a/../casino", "allow"), ("http://%63%41sino.co/", "block"), ("http://x@y@poker-a.com", "block"), ("http://good.com/%zz%", "allow"), ("http://[::1]:80/casino", "allow"), ("http://a.com..", "allow"),
+    ]
+    got = urls.filter_urls(spark.createDataFrame(list(enumerate(u for u, _ in rows)), "page_id long, url string")).collect()
+    assert [r["verdict"] for r in sorted(got)] == [v for _, v in rows]
+    assert sorted(got)[0]["host"] == "c%61sino.com" and sorted(got)[1]["host"] == "casino.com.:8080"
+    assert urls.canonical("U@A.%42.c:1.", "/a/./b/../c/..") == ("a.b.c:1", "/a/")
+    assert urls.canonical("", "") == ("", "") and urls.canonical("a:80", "/../../x/%2e%2e/y") == ("a", "/y") and urls.canonical("[::1]:443", "") == ("[::1]", "")
+    assert urls.filter_urls(spark.createDataFrame([(1, "http://casino.com")], "page_id long, url string"), blocked=()).collect()[0]["verdict"] == "allow"
+
+
 # ---- n-gram join
 
 def links_by_hand(rows, n=5):
@@ -201,6 +214,35 @@ def test_pipeline_stages_by_hand(spark, tmp_path):
     assert corpus_pipeline.run(spark, path).count() == len(at["packing"])
 
 
+CORPUS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """No documents at all, null ids, repeated rows and columns with the names that stages add."""
+    rng = random.Random(9)
+    rows = [(i, words(rng, 90), "en", "s0") for i in range(30)] + [(None, words(rng, 90), None, None)] * 20 + [(None, None, None, None), (3, "", "en", "s0"), (None, "", "xx", "s1")]
+    rows += [(5, words(rng, 90), "en", "s0")] * 30
+    clash = {c: "x" for c in ("size", "copies", "target", "kept", "n_words", "n_lines", "__own", "word", "length", "first", "source_size")}
+    whole = spark.createDataFrame([(i, t, x, s, len(t or "")) for i, t, x, s in rows], CORPUS).withColumns({c: F.lit(v) for c, v in clash.items()})
+    for k, docs in enumerate((whole, whole.limit(0))):
+        for name, step in corpus_pipeline.STAGES:
+            before = docs
+            step(spark, docs, "").write.parquet(f"{tmp_path}/{k}{name}")
+            docs = spark.read.parquet(f"{tmp_path}/{k}{name}")
+            if name != "packing":
+                assert docs.columns == before.columns
+                assert docs.filter(" OR ".join(f"`{c}` <> 'x'" for c in clash)).count() == 0
+            if k:
+                assert docs.count() == 0
+            elif name == "quality rules":
+                assert docs.count() == len(rows) - 3
+            elif name == "n-gram Jaccard join":
+                left = docs.groupBy("doc_id").count().collect()
+                assert {r["doc_id"] for r in left} == {*range(30), None} and max(r["count"] for r in left) == 2 and docs.count() == 32
+    blank = corpus_pipeline.near_duplicates(spark, whole, "").filter("coalesce(text, '') = ''")
+    assert blank.count() == 3  # documents without words all stay
+
+
 def test_pieces_of_the_test_table(spark, sf_dir):
     from tokenizers import Tokenizer
 
