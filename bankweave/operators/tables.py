@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankweave.functions import run_id, stable_id, ts_lit
+from bankweave.operators import idindex
 from bankweave.operators.scale import latest_by
-from bankweave.session import delete_path, new_folder, partition_values, path_exists
+from bankweave.session import data_sizes, delete_path, new_folder, partition_values, path_exists
 
 # The column order of the exported history.
 EXPORT_COLUMNS = [
@@ -104,16 +105,15 @@ def append_new(df: DataFrame, path: str, key: str = "transaction_id", load: str
     """Append the rows whose id the table does not hold yet; running it again adds nothing.
 
     Ids are matched alone, not with their day: a row may be undated, or dated by default when it comes again.
-    Of the table only its id column is read.  New rows are staged once, and only what is new is deduplicated.
+    The membership index tells which files may hold one of the ids; of those alone the id column is read and joined.
+    Rows are staged once, and only what is new is deduplicated.
     """
     spark = df.sparkSession
     staged = new_folder(spark, "append")
-    fresh = df
-    if path_exists(spark, path):
-        held = spark.read.schema(df.select(key).schema).parquet(path)
-        fresh = df.join(held, key, "left_anti")
-    fresh.write.parquet(staged)
+    df.write.parquet(staged)
     fresh = spark.read.schema(df.schema).parquet(staged)
+    if path_exists(spark, path):
+        fresh = fresh.join(idindex.held(spark, path, fresh, key), key, "left_anti")
     write_transactions(one_per_id(fresh, key), path, load=load)
     delete_path(spark, staged)
 
@@ -185,39 +185,42 @@ def expire(spark: SparkSession, path: str, as_of, days: int = RAW_DAYS, date_col
 def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[str] | None = None) -> list[str]:
     """Remove every row of the given customers, rewriting only the folders that hold one.
 
-    Survivors are first written to the shared folder and only then swapped in, so an
-    interrupted run can be repeated.  A folder left without rows is deleted: a dynamic
-    overwrite would keep its old content.  Undated rows lie in a folder of their own and are treated alike.
+    The membership index tells which files may hold a customer; of those the customer column is read to find the folders.
+    Survivors are first written to the shared folder and only then swapped in, so an interrupted run can be repeated.
+    A folder left without rows is deleted: a dynamic overwrite would keep its old content.  Undated rows lie in
+    a folder of their own and are treated alike.  The filters of rewritten days go as well, as they still know the customers.
     """
-    table = spark.read.parquet(path)
-    parts = parts or [c for c in PARTS if c in table.columns]
+    key = "customer_id"
+    whole = spark.read.parquet(path)
+    parts = parts or [c for c in PARTS if c in whole.columns]
     # A partition column that holds nothing but nulls is read without a type.
-    table = table.withColumns({c: F.col(c).cast("string") for c, kind in table.dtypes if c in parts and kind == "void"})
-    hit = table.join(ids.select("customer_id"), "customer_id", "left_semi").select(*parts).distinct()
-    touched = [tuple(r) for r in hit.collect()]  # folders, not rows
-    if not touched:
+    schema = whole.withColumns({c: F.col(c).cast("string") for c, kind in whole.dtypes if c in parts and kind == "void"}).schema
+    idindex.refresh(spark, path, key)
+    files = idindex.may_hold(spark, path, ids, key)
+    if not files:
+        return []
+    named = spark.read.schema(f"{key} string").parquet(*files).select(idindex.file_name().alias("file"), key)
+    hit = named.join(ids.select(key), key, "left_semi").select("file").distinct()
+    folders = sorted({r["file"].rpartition("/")[0] for r in hit.collect()})  # names of files, not rows
+    if not folders:
         return []
+    table = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
     staged = new_folder(spark, "erase")
-    inside = F.lit(False)
-    for values in touched:
-        same = F.lit(True)
-        for c, v in zip(parts, values):
-            same = same & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
-        inside = inside | same
-    keep = table.filter(inside).join(ids.select("customer_id"), "customer_id", "left_anti")
-    # Their folders as a column: an emptied one is told by its absence.
-    write_partitioned(keep, staged, parts, "overwrite", [c for c in CLUSTER if c in table.columns])
-    survivors = spark.read.schema(table.schema).parquet(staged)
-    left = {tuple(r) for r in survivors.select(*parts).distinct().collect()}
+    keep = table.join(ids.select(key), key, "left_anti")
+    clustered = [c for c in CLUSTER if c in table.columns]
+    write_partitioned(keep, staged, parts, "overwrite", clustered)
+    left = {name.rpartition("/")[0] for name in data_sizes(spark, staged)}
     if left:
-        out = survivors.sortWithinPartitions(*parts, *[c for c in CLUSTER if c in table.columns])
+        survivors = spark.read.schema(schema).option("basePath", staged).parquet(staged)
+        out = survivors.sortWithinPartitions(*parts, *clustered)
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-    for values in touched:
-        if values not in left:
-            delete_path(spark, "/".join([path, *[f"{c}={NO_VALUE if v is None else v}" for c, v in zip(parts, values)]]))
-    for day in {v[0] for v in touched} - {v[0] for v in left}:
-        folder = f"{path}/{parts[0]}={NO_VALUE if day is None else day}"
-        if len(parts) > 1 and not partition_values(spark, folder, parts[1]):
-            delete_path(spark, folder)
+    for folder in folders:
+        if folder not in left:
+            delete_path(spark, f"{path}/{folder}")
+    days = {f.partition("/")[0] for f in folders}
+    for day in days:
+        if not data_sizes(spark, f"{path}/{day}"):
+            delete_path(spark, f"{path}/{day}")
+    idindex.forget(spark, path, days)
     delete_path(spark, staged)
-    return sorted({str(v[0]) for v in touched})
+    return sorted({day.partition("=")[2].replace(NO_VALUE, "None") for day in days})

@@ -49,7 +49,7 @@ def velocity_instants(tx: DataFrame, window_seconds: int = 3600, slot_seconds: i
 
     def step(kind: int, when, where, sign: int):
         return F.struct(F.lit(kind).alias("_kind"), when.alias("_at"), where.alias("_slot"),
-                        (F.col("_n") * sign).alias("_n"), (F.col("_amt") * sign).cast("decimal(28,2)").alias("_amt"))
+                        (F.col("_n") * sign).alias("_n"), money(F.col("_amt") * sign).alias("_amt"))
 
     moves = at.select("customer_id", F.inline(F.array(
         step(1, F.col("_at"), F.col("_slot"), 1),
@@ -58,7 +58,7 @@ def velocity_instants(tx: DataFrame, window_seconds: int = 3600, slot_seconds: i
     opening = (
         at.groupBy("customer_id", "_slot").agg(F.sum("_n").alias("_n"), F.sum("_amt").alias("_amt"))
         .select("customer_id", F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("_at"), "_slot",
-                F.sum("_n").over(inside).alias("_n"), F.sum("_amt").over(inside).cast("decimal(28,2)").alias("_amt"))
+                F.sum("_n").over(inside).alias("_n"), money(F.sum("_amt").over(inside)).alias("_amt"))
         .filter(F.col("_n").isNotNull())
     )
     running = (

@@ -6,7 +6,7 @@ import importlib
 
 from bankweave.plans import registry
 
-MODULES = ("reports", "ingest", "stores", "streams", "models")
+MODULES = ("reports", "ingest", "stores", "streams", "models", "upkeep")
 
 
 def _load() -> None:

@@ -33,9 +33,18 @@ def message_stream(spark, sf) -> DataFrame:
     return files.read_stream(spark, fx.message_folder(spark, sf), fx.messages(spark, sf).schema, "parquet")
 
 
-def late_stream(spark, sf) -> DataFrame:
-    """Valid transactions in several micro-batches, newest first."""
-    return files.read_stream(spark, fx.tx_files(spark, sf), fx.tx(spark, sf).schema, "parquet", max_files=1)
+def arrivals(spark, folder: str, parts: list[DataFrame], start) -> None:
+    """Parts arrive one after the other, each as the files its tasks write; after each the queries go on from where they stopped."""
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        started = start(files.read_stream(spark, folder, part.schema, "parquet"))
+        for q in started if isinstance(started, list) else [started]:
+            flows.wait(q)
+
+
+def late_arrivals(spark, sf, root: str, start) -> None:
+    """Valid transactions in several parts, newest first, so that a stream of them meets its late rows last."""
+    arrivals(spark, f"{root}/arrivals", fx.tx_parts(spark, sf), start)
 
 
 @query("s3_stream_scan", sql("fate", """
@@ -53,14 +62,11 @@ def s3(spark, sf):
     SELECT 'stored' AS place, bank_entity AS k, count(*) AS n FROM fate WHERE faults = '' OR faults IS NULL GROUP BY ALL
     UNION ALL SELECT 'quarantine', faults, count(*) + count(*) FILTER (event_id % 10 = 0) FROM fate WHERE faults <> '' GROUP BY ALL"""))
 def r2_kept(spark, sf):
-    """Messages in several files, newest first, one dated years ahead among them, and a last file that repeats some."""
+    """Messages in several parts, newest first, one dated years ahead among them, and a last part that repeats some."""
     root, raw = new_folder(spark, "kept"), fx.messages(spark, sf)
-    newest, older = F.col("arrival_date") >= "2024-01-16", F.col("arrival_date") < "2024-01-16"
-    for part in (newest, older, F.col("event_id") % 10 == 0):
-        raw.filter(part).select("raw").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = files.read_stream(spark, f"{root}/in", raw.select("raw").schema, "parquet", max_files=1)
-    for q in jobs.start_message_queries(stream, f"{root}/out", ("warehouse",), fx.BANKS):
-        flows.wait(q)
+    newest = F.coalesce(F.col("arrival_date") >= "2024-01-16", F.lit(False))
+    parts = [raw.filter(part).select("raw") for part in (newest, ~newest, F.col("event_id") % 10 == 0)]
+    arrivals(spark, f"{root}/in", parts, lambda stream: list(jobs.start_message_queries(stream, f"{root}/out", ("warehouse",), fx.BANKS)))
     stored = spark.read.parquet(f"{root}/out/warehouse").groupBy(F.lit("stored").alias("place"), F.col("bank_entity").alias("k"))
     faulty = spark.read.parquet(f"{root}/out/quarantine").groupBy(F.lit("quarantine").alias("place"), F.array_join("errors", "; ").alias("k"))
     return stored.agg(F.count(F.lit(1)).alias("n")).unionByName(faulty.agg(F.count(F.lit(1)).alias("n")))
@@ -148,7 +154,7 @@ def r8(spark, sf):
 def r9(spark, sf):
     """Entries alive at a moment; hours that have expired by then are gone."""
     root, now = new_folder(spark, "live"), "2024-01-20 11:30:00"
-    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("cache",)))
+    late_arrivals(spark, sf, root, lambda stream: flows.start_multi_sink(stream, root, sinks=("cache",)))
     flows.purge_cache(spark, root, now)
     return flows.live_cache(spark, root, now).select("cache_key", "transaction_id", "status", "processing_timestamp")
 
@@ -157,7 +163,7 @@ def r9(spark, sf):
 def r10(spark, sf):
     """Rows that come weeks behind newer ones are stored like others, and a replay adds nothing."""
     root = new_folder(spark, "late")
-    flows.wait(flows.start_multi_sink(flows.dedup(late_stream(spark, sf)), root, sinks=("warehouse",)))
+    late_arrivals(spark, sf, root, lambda stream: flows.start_multi_sink(flows.dedup(stream), root, sinks=("warehouse",)))
     K.append_new(fx.tx(spark, sf), f"{root}/warehouse")
     return spark.read.parquet(f"{root}/warehouse").select("transaction_id", "tx_date")
 
@@ -167,7 +173,7 @@ def r10(spark, sf):
 def r8_profiles(spark, sf):
     """Profiles folded into a snapshot on the way, read as the snapshot and the batches after it."""
     root = new_folder(spark, "profiles")
-    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("profile",), compact_every=2))
+    late_arrivals(spark, sf, root, lambda stream: flows.start_multi_sink(stream, root, sinks=("profile",), compact_every=2))
     return flows.current_profiles(spark, root)
 
 
@@ -178,7 +184,7 @@ def stream_layout(spark, sf):
     """One table: filled by a stream, replayed later, with customers erased and old days dropped."""
     root = new_folder(spark, "layout")
     table = f"{root}/warehouse"
-    flows.wait(flows.start_multi_sink(late_stream(spark, sf), root, sinks=("warehouse",)))
+    late_arrivals(spark, sf, root, lambda stream: flows.start_multi_sink(stream, root, sinks=("warehouse",)))
     K.append_new(fx.tx(spark, sf).withColumn("processing_timestamp", F.lit("2024-03-01").cast("timestamp")), table)
     K.erase_customers(spark, table, fx.profiles(spark, sf).filter(F.col("country_code") == "NATION_3").select("customer_id"))
     K.expire(spark, table, fx.AS_OF, days=14)
@@ -194,8 +200,8 @@ def j5(spark, sf):
 @query("r13_subscribers", sql("tx", "SELECT bank_entity, transaction_id, status, amount FROM tx"))
 def r13(spark, sf):
     """Each bank drains its own folders with a query and a checkpoint of its own; a repeated batch is delivered once."""
-    root, stream = new_folder(spark, "subscribers"), late_stream(spark, sf)
-    flows.wait(flows.start_multi_sink(stream, root, sinks=("distribution",)))
+    root = new_folder(spark, "subscribers")
+    late_arrivals(spark, sf, root, lambda stream: flows.start_multi_sink(stream, root, sinks=("distribution",)))
 
     def drain() -> None:
         started = [flows.start_subscriber(spark, root, b, f"{root}/out/{b}", f"{root}/progress/{b}") for b in fx.BANKS]

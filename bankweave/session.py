@@ -110,3 +110,53 @@ def partition_values(spark: SparkSession, table: str, column: str) -> list[str]:
         return []
     names = [status.getPath().getName() for status in fs.listStatus(p)]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the parent of the target is made if there is none."""
+    fs, p = _fs(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def data_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Bytes of every data file at any depth, by its name below the folder; hidden files are left out, as Spark's readers do."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return {}
+    root, found = fs.getFileStatus(p).getPath().toString().rstrip("/"), {}
+    waiting = [p]
+    while waiting:
+        for status in fs.listStatus(waiting.pop()):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")) and "=" not in name:
+                continue
+            if status.isDirectory():
+                waiting.append(status.getPath())
+            else:
+                found[status.getPath().toString()[len(root) + 1 :]] = status.getLen()
+    return found
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Small file, there as a whole or not at all."""
+    fs, p = _fs(spark, path + ".part")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    delete_path(spark, path)
+    move_path(spark, path + ".part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    held = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(held)).decode()
+    finally:
+        held.close()

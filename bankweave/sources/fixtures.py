@@ -14,6 +14,7 @@ TODAY = "2024-01-15"
 LOOKBACK_DAYS = 14
 HOLIDAYS = ["2024-01-01", "2024-01-08"]
 BANKS = [f"bank-{i:02d}" for i in range(12)]
+# The columns of a transaction.
 TX_COLUMNS = [
     "transaction_id", "bank_entity", "customer_id", "transaction_type", "amount", "currency", "source_account",
     "destination_account", "destination_bank", "channel", "status", "fraud_score", "latitude", "longitude",
@@ -199,13 +200,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id bigint, arrival_date date, raw string").parquet(message_folder(spark, sf_dir))
 
 
-def tx_files(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
-    """Folder of valid transactions in several files, written newest first, so that a stream of them meets its late rows last."""
-    path, rows = new_folder(spark, "arrivals"), tx(spark, sf_dir)
-    day = F.dayofmonth("transaction_timestamp")
-    for part in range(parts - 1, -1, -1):
-        rows.filter((day * parts / 32).cast("int") == part).coalesce(1).write.mode("append").parquet(path)
-    return path
+def tx_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> list[DataFrame]:
+    """Valid transactions by time of the month, newest first; undated ones are with the oldest."""
+    rows = tx(spark, sf_dir)
+    part = F.coalesce((F.dayofmonth("transaction_timestamp") * parts / 32).cast("int"), F.lit(0))
+    return [rows.filter(part == n) for n in range(parts - 1, -1, -1)]
 
 
 def lots(spark: SparkSession, sf_dir: str, size: int = 50) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ts_lit
 from bankweave.operators import aggregates, predict, validate, windows
-from bankweave.operators.tables import check_existing, write_transactions
+from bankweave.operators.tables import append_new, check_existing, write_transactions
 from bankweave.session import delete_path, new_folder, partition_values
 
 TS = "transaction_timestamp"
@@ -53,6 +53,15 @@ def dedup(stream: DataFrame, key: str = "transaction_id") -> DataFrame:
     return stream.dropDuplicates([key])
 
 
+def dedup_within(stream: DataFrame, horizon: str = "1 day", arrived: str = "arrived_at", key: str = "transaction_id") -> DataFrame:
+    """One row per id within ``horizon`` of its first arrival; the state forgets ids after that.
+
+    The watermark is on the time of arrival, which our own clock gives, so no row is ever late.  Copies that come
+    later are met by the table they go to (``start_settled``).
+    """
+    return stream.withWatermark(arrived, horizon).dropDuplicatesWithinWatermark([key])
+
+
 def tumbling_kpis(stream: DataFrame, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     return aggregates.kpi_counts(stream.withWatermark(TS, delay), width)
 
@@ -152,13 +161,23 @@ def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 def _cache_entries(df: DataFrame) -> DataFrame:
     return df.select(cache_key().alias("cache_key"), last_txn_key().alias("customer_key"), "transaction_id", "status",
-                     "processing_timestamp", F.to_json(F.struct(*df.columns)).alias("value"), _hour("processing_timestamp").alias("cache_hour"))
+                     "processing_timestamp", F.to_json(F.struct(*df.columns)).alias("value"))
 
 
 def _hour(ts) -> Column:
     return F.date_format(ts, "yyyy-MM-dd-HH")
 
 
+def _write_cache(df: DataFrame, folder: str, batch_id: int) -> None:
+    """One folder for a micro-batch, below the hour of its newest entry, by which it expires as a whole; entries are in order of time."""
+    spark = df.sparkSession
+    upto = df.agg(_hour(F.max("processing_timestamp"))).first()[0] or "0000"  # one value
+    for other in partition_values(spark, folder, "cache_upto"):
+        if other != upto:  # of a batch that is repeated at a later hour
+            delete_path(spark, f"{folder}/cache_upto={other}/batch_id={batch_id}")
+    _cache_entries(df).sortWithinPartitions("processing_timestamp").write.mode("overwrite").parquet(f"{folder}/cache_upto={upto}/batch_id={batch_id}")
+
+
 def _messages(statuses: tuple[str, ...] | None) -> Callable[[DataFrame], DataFrame]:
     return lambda df: validate.distribution(validate.for_statuses(df, statuses))
 
@@ -185,7 +204,7 @@ def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS,
                 if batch_id % compact_every == compact_every - 1:
                     compact_profiles(df.sparkSession, root, batch_id)
             if "cache" in chosen:
-                _write_batch(_cache_entries(df), f"{root}/cache", batch_id, ["cache_hour"])
+                _write_cache(df, f"{root}/cache", batch_id)
             if "warehouse" in chosen:
                 write_transactions(df, f"{root}/warehouse", "overwrite", f"stream-{batch_id}")
             if "distribution" in chosen:
@@ -197,6 +216,17 @@ def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS,
     return _go(writer, available_now)
 
 
+def start_settled(stream: DataFrame, path: str, checkpoint: str, horizon: str = "1 day", available_now: bool = True) -> StreamingQuery:
+    """Append each id once to a transaction table, with state for the ids of ``horizon`` alone: older ones are settled by the table's
+    membership index, of which only the files that may hold one are read.  A repeated batch finds its own rows and adds nothing."""
+    once = dedup_within(stream.withColumn("arrived_at", F.current_timestamp()), horizon).drop("arrived_at")
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        append_new(df, path, load=f"stream-{batch_id}")
+
+    return _go(once.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
+
+
 def _snapshot(spark: SparkSession, root: str) -> int:
     """Last batch that is folded into the profile snapshot, or -1."""
     return max((int(n) for n in partition_values(spark, f"{root}/profile/snapshot", "upto")), default=-1)
@@ -228,19 +258,19 @@ def compact_profiles(spark: SparkSession, root: str, upto: int | None = None) ->
 
 
 def live_cache(spark: SparkSession, root: str, as_of, ttl: int = 3600) -> DataFrame:
-    """Cache entries alive at ``as_of``: only the folders of the hours that the time to live reaches are read."""
+    """Cache entries alive at ``as_of``: batches whose newest entry has expired are not read, and of the others only the row groups of that time."""
     now = ts_lit(as_of)
     since = now - F.make_dt_interval(secs=F.lit(ttl).cast("decimal(18,6)"))
-    held = spark.read.parquet(f"{root}/cache").filter(F.col("cache_hour").cast("string").between(_hour(since), _hour(now)))
-    return held.filter((F.col("processing_timestamp") > since) & (F.col("processing_timestamp") <= now)).drop("cache_hour", "batch_id")
+    held = spark.read.parquet(f"{root}/cache").filter(F.col("cache_upto").cast("string") >= _hour(since))
+    return held.filter((F.col("processing_timestamp") > since) & (F.col("processing_timestamp") <= now)).drop("cache_upto", "batch_id")
 
 
 def purge_cache(spark: SparkSession, root: str, as_of, ttl: int = 3600) -> list[str]:
-    """Delete the folders of hours whose entries have all expired.  Returns what was deleted."""
+    """Delete the batches whose entries have all expired.  Returns the hours of their newest entries."""
     edge = (datetime.fromisoformat(str(as_of)) - timedelta(seconds=ttl)).strftime("%Y-%m-%d-%H")
-    old = [h for h in partition_values(spark, f"{root}/cache", "cache_hour") if h < edge]
+    old = [h for h in partition_values(spark, f"{root}/cache", "cache_upto") if h < edge]
     for hour in old:
-        delete_path(spark, f"{root}/cache/cache_hour={hour}")
+        delete_path(spark, f"{root}/cache/cache_upto={hour}")
     return old
 
 
