@@ -9,6 +9,7 @@ that holds it once in some 10^8 times, so a batch of a million new ids finds nea
 from __future__ import annotations
 
 import math
+import re
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from bankweave.session import data_sizes, delete_path
 BITMAP = 32_768  # bits of a bitmap
 HASHES = 12
 PER_ID = 48  # bits an id
+LIST = 512
 SLOTS = 16  # an id is asked for in one of at least so many slots, so that small filters do not meet in one task
 _FILE = r"((?:[^/=]+=[^/]*/)*[^/]+)$"
 _CELLS = "file string, bitmaps bigint, bitmap bigint, bits binary"
@@ -33,9 +35,9 @@ def file_name() -> Column:
     return F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), _FILE, 1)
 
 
-def _day(file: Column) -> Column:
-    """First folder of a file's name, by which filters are kept together."""
-    return F.when(file.contains("/"), F.substring_index(file, "/", 1)).otherwise("none")
+def _month(file: Column) -> Column:
+    """First folder of a file's name without the day, by which filters are kept together."""
+    return F.when(file.contains("/"), F.regexp_replace(F.substring_index(file, "/", 1), "-[0-9]+$", "")).otherwise("none")
 
 
 def _bits(key: str) -> tuple[Column, Column]:
@@ -78,15 +80,15 @@ def refresh(spark: SparkSession, table: str, key: str = "transaction_id") -> lis
         found = filters(rows.select(file_name().alias("file"), key), key)
         # Every file is told by a row without bitmap, also one whose ids are all null.
         marks = spark.createDataFrame([(f,) for f in new], "file string").selectExpr("file", "0L AS bitmaps", "0L AS bitmap", "CAST(NULL AS BINARY) AS bits")
-        rows = found.unionByName(marks).withColumn("day", _day(F.col("file"))).hint("rebalance", F.col("day"))
-        rows.write.mode("append").partitionBy("day").parquet(index)
+        rows = found.unionByName(marks).withColumn("month", _month(F.col("file"))).hint("rebalance", F.col("month"))
+        rows.write.mode("append").partitionBy("month").parquet(index)
     return new
 
 
 def _cells(spark: SparkSession, index: str) -> DataFrame:
     if not data_sizes(spark, index):
-        return spark.createDataFrame([], f"{_CELLS}, day string")
-    return spark.read.schema(f"{_CELLS}, day string").option("basePath", index).parquet(index)
+        return spark.createDataFrame([], f"{_CELLS}, month string")
+    return spark.read.schema(f"{_CELLS}, month string").option("basePath", index).parquet(index)
 
 
 def may_hold(spark: SparkSession, table: str, ids: DataFrame, key: str = "transaction_id") -> list[str]:
@@ -98,12 +100,15 @@ def may_hold(spark: SparkSession, table: str, ids: DataFrame, key: str = "transa
         return []
     chosen, places = _bits(key)
     slots = F.greatest(F.lit(SLOTS).cast("long"), "bitmaps")
+    ids = ids.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias(key)).distinct().select(chosen.alias("_h"), places.alias("_places"))
+    # About LIST ids of a slot are asked for together, so a bitmap is handed on once for as many.
+    lists = F.greatest(F.lit(1).cast("long"), F.ceil(F.lit(ids.count()) / (slots * LIST)))
     asked = (
-        ids.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias(key)).distinct().select(chosen.alias("_h"), places.alias("_places"))
-        .withColumn("bitmaps", F.explode(F.array(*[F.lit(s).cast("long") for s in sorted(sizes)]))).withColumn("_slot", F.pmod("_h", slots)))
+        ids.withColumn("bitmaps", F.explode(F.array(*[F.lit(s).cast("long") for s in sorted(sizes)]))).withColumn("_slot", F.pmod("_h", slots))
+        .groupBy("bitmaps", "_slot", F.pmod(F.xxhash64("_places"), lists).alias("_list")).agg(F.collect_list("_places").alias("_asked")))
     # A small filter's bitmaps are offered to every slot that leads to them.
     offered = cells.withColumn("_slot", F.explode(F.sequence(F.col("bitmap"), slots - 1, F.col("bitmaps")))).select("file", "bitmaps", "_slot", "bits")
-    met = asked.join(offered, ["bitmaps", "_slot"]).filter(F.forall("_places", lambda p: _holds(F.col("bits"), p)))
+    met = asked.join(offered, ["bitmaps", "_slot"]).filter(F.exists("_asked", lambda places: F.forall(places, lambda p: _holds(F.col("bits"), p))))
     hit = {r["file"] for r in met.select("file").distinct().collect()}  # names of files, not rows
     return sorted(f"{table}/{f}" for f in hit & files.keys())
 
@@ -119,10 +124,11 @@ def held(spark: SparkSession, table: str, ids: DataFrame, key: str = "transactio
 
 
 def forget(spark: SparkSession, table: str, days: set[str]) -> None:
-    """Drop the filters of day folders, of every key; the next question builds those of files still there anew."""
+    """Drop the filters of the months that day folders lie in, of every key; the next question builds those of files still there anew."""
+    months = {re.sub("-[0-9]+$", "", day) for day in days}
     for key in {name.partition("/")[0] for name in data_sizes(spark, index_path(table, ""))}:
-        for day in days:
-            delete_path(spark, f"{index_path(table, key)}/day={quote(day, safe='-_.')}")
+        for month in months:
+            delete_path(spark, f"{index_path(table, key)}/month={quote(month, safe='-_.')}")
 
 
 def false_hits(ids: int, files: int) -> float:

@@ -113,20 +113,21 @@ def fx_normalise(tx: DataFrame, ticks: DataFrame, home: str = "DLD", **kw) -> Da
     ).withColumn("amount_home", F.col("amount") * F.col("rate"))
 
 
-def rate_intervals(rates: DataFrame) -> DataFrame:
-    """Each rate with the day the next one of its country and type takes over."""
-    order = Window.partitionBy("country_code", "rate_type").orderBy("effective_date")
-    return rates.withColumn("until", F.lead("effective_date").over(order))
-
-
 def rates_on(df: DataFrame, rates: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows keyed by ``country_code`` and a day, with the rate in effect that day."""
-    spans = rate_intervals(rates).select(
-        F.col("country_code").alias("_cc"), "rate_type", "rate_value", "effective_date", "until")
-    day = F.col(date_col)
-    on = (F.col("country_code") == F.col("_cc")) & (day >= F.col("effective_date")) & (
-        F.col("until").isNull() | (day < F.col("until")))
-    return df.join(spans, on, "left").drop("_cc", "until")
+    """Rows keyed by ``country_code`` and a day, with the rate in effect that day: a row for each rate type, one without rate if there is none.
+
+    The days that occur for a country, not the rows, are put in order with its rates, and each takes the last rate at or before
+    it; rows then find their rates by country and day alone, so a country with much of the data is spread over its days.
+    """
+    days = df.select(F.col("country_code").alias("_cc"), F.col(date_col).cast("date").alias("_day")).filter("_cc IS NOT NULL AND _day IS NOT NULL").distinct()
+    kinds = rates.select(F.col("country_code").alias("_cc"), "rate_type").distinct()
+    held = F.struct("rate_value", "effective_date")
+    marks = rates.select(F.col("country_code").alias("_cc"), "rate_type", F.col("effective_date").cast("date").alias("_day"), F.lit(0).alias("_ask"), held.alias("_rate"))
+    asked = days.join(kinds, "_cc").select("_cc", "rate_type", "_day", F.lit(1).alias("_ask"), F.lit(None).cast(marks.schema["_rate"].dataType).alias("_rate"))
+    upto = Window.partitionBy("_cc", "rate_type").orderBy("_day", "_ask", F.col("_rate.rate_value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = marks.unionByName(asked).withColumn("_rate", F.last("_rate", ignorenulls=True).over(upto)).filter((F.col("_ask") == 1) & F.col("_rate").isNotNull())
+    found = found.select("_cc", "_day", "rate_type", "_rate.rate_value", "_rate.effective_date")
+    return df.join(found, (F.col("country_code") == F.col("_cc")) & (F.col(date_col).cast("date") == F.col("_day")), "left").drop("_cc", "_day")
 
 
 def outside_catalog(df: DataFrame, catalog: DataFrame, column: str) -> DataFrame:

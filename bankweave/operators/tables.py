@@ -27,6 +27,8 @@ CLUSTER = ["bank_entity", "transaction_type", "status"]
 # Raw files are deleted, and lake files turn cold, at these ages in days.
 RAW_DAYS = 90
 COLD_DAYS = 365
+# Bytes of a table from which on asking the membership index costs less than reading a column.
+INDEX_FROM = 8 << 30
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "append", cluster: list[str] | None = None) -> None:
@@ -101,20 +103,30 @@ def one_per_id(df: DataFrame, key: str = "transaction_id", order: list[str] | No
     return latest_by(df.withColumn("_tie", tie), [key], [*order, "_tie"], first=True).drop("_tie")
 
 
-def append_new(df: DataFrame, path: str, key: str = "transaction_id", load: str = "batch") -> None:
+def append_new(df: DataFrame, path: str, key: str = "transaction_id", load: str = "batch", index_from: int = INDEX_FROM) -> None:
     """Append the rows whose id the table does not hold yet; running it again adds nothing.
 
     Ids are matched alone, not with their day: a row may be undated, or dated by default when it comes again.
-    The membership index tells which files may hold one of the ids; of those alone the id column is read and joined.
-    Rows are staged once, and only what is new is deduplicated.
+    From ``index_from`` bytes of table on, the membership index tells which files may hold one of the ids, and of those alone the
+    id column is read and joined; the id column of a smaller table is read as a whole, which is faster there.
     """
     spark = df.sparkSession
-    staged = new_folder(spark, "append")
-    df.write.parquet(staged)
-    fresh = spark.read.schema(df.schema).parquet(staged)
-    if path_exists(spark, path):
-        fresh = fresh.join(idindex.held(spark, path, fresh, key), key, "left_anti")
-    write_transactions(one_per_id(fresh, key), path, load=load)
+    staged, made = new_folder(spark, "append"), []
+
+    def kept(rows: DataFrame) -> DataFrame:
+        made.append(f"{staged}/{len(made)}")
+        rows.write.parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    size = sum(data_sizes(spark, path).values())
+    if not size:
+        fresh = df
+    elif size < index_from:
+        fresh = df.join(spark.read.schema(df.select(key).schema).parquet(path), key, "left_anti")
+    else:
+        rows = kept(df)
+        fresh = rows.join(idindex.held(spark, path, rows, key), key, "left_anti")
+    write_transactions(one_per_id(kept(fresh), key), path, load=load)
     delete_path(spark, staged)
 
 
@@ -182,10 +194,11 @@ def expire(spark: SparkSession, path: str, as_of, days: int = RAW_DAYS, date_col
     return old
 
 
-def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[str] | None = None) -> list[str]:
+def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[str] | None = None, index_from: int = INDEX_FROM) -> list[str]:
     """Remove every row of the given customers, rewriting only the folders that hold one.
 
-    The membership index tells which files may hold a customer; of those the customer column is read to find the folders.
+    From ``index_from`` bytes of table on, the membership index tells which files may hold a customer; of those, or of all files of a
+    smaller table, the customer column is read to find the folders.
     Survivors are first written to the shared folder and only then swapped in, so an interrupted run can be repeated.
     A folder left without rows is deleted: a dynamic overwrite would keep its old content.  Undated rows lie in
     a folder of their own and are treated alike.  The filters of rewritten days go as well, as they still know the customers.
@@ -195,8 +208,12 @@ def erase_customers(spark: SparkSession, path: str, ids: DataFrame, parts: list[
     parts = parts or [c for c in PARTS if c in whole.columns]
     # A partition column that holds nothing but nulls is read without a type.
     schema = whole.withColumns({c: F.col(c).cast("string") for c, kind in whole.dtypes if c in parts and kind == "void"}).schema
-    idindex.refresh(spark, path, key)
-    files = idindex.may_hold(spark, path, ids, key)
+    sizes = data_sizes(spark, path)
+    if sum(sizes.values()) < index_from:
+        files = [f"{path}/{name}" for name in sizes]
+    else:
+        idindex.refresh(spark, path, key)
+        files = idindex.may_hold(spark, path, ids, key)
     if not files:
         return []
     named = spark.read.schema(f"{key} string").parquet(*files).select(idindex.file_name().alias("file"), key)

@@ -49,7 +49,7 @@ def velocity_instants(tx: DataFrame, window_seconds: int = 3600, slot_seconds: i
 
     def step(kind: int, when, where, sign: int):
         return F.struct(F.lit(kind).alias("_kind"), when.alias("_at"), where.alias("_slot"),
-                        (F.col("_n") * sign).alias("_n"), money(F.col("_amt") * sign).alias("_amt"))
+                        (F.col("_n") * sign).alias("_n"), money(F.col("_amt") if sign > 0 else -F.col("_amt")).alias("_amt"))  # a product would lose decimals
 
     moves = at.select("customer_id", F.inline(F.array(
         step(1, F.col("_at"), F.col("_slot"), 1),

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ts_lit
 from bankweave.operators import aggregates, predict, validate, windows
-from bankweave.operators.tables import append_new, check_existing, write_transactions
+from bankweave.operators.tables import INDEX_FROM, append_new, check_existing, write_transactions
 from bankweave.session import delete_path, new_folder, partition_values
 
 TS = "transaction_timestamp"
@@ -216,13 +216,13 @@ def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS,
     return _go(writer, available_now)
 
 
-def start_settled(stream: DataFrame, path: str, checkpoint: str, horizon: str = "1 day", available_now: bool = True) -> StreamingQuery:
+def start_settled(stream: DataFrame, path: str, checkpoint: str, horizon: str = "1 day", index_from: int = INDEX_FROM, available_now: bool = True) -> StreamingQuery:
     """Append each id once to a transaction table, with state for the ids of ``horizon`` alone: older ones are settled by the table's
     membership index, of which only the files that may hold one are read.  A repeated batch finds its own rows and adds nothing."""
     once = dedup_within(stream.withColumn("arrived_at", F.current_timestamp()), horizon).drop("arrived_at")
 
     def write(df: DataFrame, batch_id: int) -> None:
-        append_new(df, path, load=f"stream-{batch_id}")
+        append_new(df, path, load=f"stream-{batch_id}", index_from=index_from)
 
     return _go(once.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
 

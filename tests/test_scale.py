@@ -130,3 +130,43 @@ def test_detection_rate_counts_each_suspect_once(tx):
 def test_top_suspects_keeps_n_per_bank(tx):
     counts = {r.bank_entity: r.c for r in W.top_suspects(tx.withColumn("fraud_score", F.lit(0.5)), 2).groupBy("bank_entity").agg(F.count("*").alias("c")).collect()}
     assert counts == {f"b{i}": 2 for i in range(4)}
+
+
+def test_rates_of_a_busy_country(spark):
+    """One country with a third of the rows and thousands of rates, against a search row by row."""
+    import bisect
+    import random
+    from datetime import date, timedelta
+
+    from bankweave.operators import joins
+
+    rng = random.Random(31)
+    start = date(2000, 1, 1)
+    rates = [(f"R{i}", "HOT" if i % 2 else f"C{i % 7}", rng.choice(["A", "B"]), i / 1000, start + timedelta(days=i)) for i in range(4000)]
+    facts = [(i, "HOT" if i % 3 == 0 else rng.choice(["C0", "C2", "NONE", None]), start + timedelta(days=rng.randint(-5, 4100)) if i % 50 else None) for i in range(6000)]
+    r = spark.createDataFrame(rates, "rate_id string, country_code string, rate_type string, rate_value double, effective_date date")
+    f = spark.createDataFrame(facts, "id int, country_code string, date date")
+    by = {}
+    for _, c, kind, value, day in rates:
+        by.setdefault((c, kind), []).append((day, value))
+    want = []
+    for i, c, day in facts:
+        own = []
+        for kind in ("A", "B"):
+            held = by.get((c, kind), [])
+            at = bisect.bisect_right(held, (day, float("inf"))) if day else 0
+            if at:
+                own.append((i, kind, held[at - 1][1], held[at - 1][0]))
+        want += own or [(i, None, None, None)]
+    got = joins.rates_on(f, r).select("id", "rate_type", "rate_value", "effective_date")
+    key = lambda t: tuple(map(str, t))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_velocity_keeps_all_decimals(spark):
+    from bankweave.operators import windows
+
+    rows = [("c", f"2024-01-01 10:{m:02d}:00", 23.123456) for m in (0, 10, 20)] + [("c", "2024-01-01 12:00:00", 0.000000001)]
+    tx = spark.createDataFrame(rows, "customer_id string, t string, amount double").selectExpr("customer_id", "CAST(t AS TIMESTAMP) AS transaction_timestamp", "amount")
+    got = [r["amount_in_window"] for r in windows.velocity(tx).orderBy("transaction_timestamp").collect()]
+    assert got == [23.123456, 46.246912, 69.370368, 0.000000001]

@@ -60,13 +60,13 @@ def test_sizes_of_filters_follow_the_files(spark):
 
 def test_append_sees_files_of_other_writers_and_null_ids(spark):
     path, rows = new_folder(spark, "others"), rows_of(300, 5, 3)
-    K.append_new(frame(spark, rows[:100]), path)
+    K.append_new(frame(spark, rows[:100]), path, index_from=0)
     K.write_transactions(frame(spark, rows[100:200]), path, load="elsewhere")  # knows nothing of the index
-    K.append_new(frame(spark, rows), path)
-    K.append_new(frame(spark, rows[::-1]), path)
+    K.append_new(frame(spark, rows), path, index_from=0)
+    K.append_new(frame(spark, rows[::-1]), path, index_from=0)
     ids = [r["transaction_id"] for r in spark.read.parquet(path).collect()]
     assert sorted(ids) == sorted(r[0] for r in rows)
-    K.append_new(frame(spark, [(None, *rows[0][1:])]), path)
+    K.append_new(frame(spark, [(None, *rows[0][1:])]), path, index_from=0)
     assert spark.read.parquet(path).filter("transaction_id IS NULL").count() == 1
 
 
@@ -74,7 +74,7 @@ def test_appending_a_day_reads_no_other(spark):
     path = new_folder(spark, "days")
     for day in range(1, 8):
         rows = [(f"D{day}-{i}", "c", "b", "PAYMENT", "APPROVED", 1.0, f"2024-02-{day:02d} 00:00:00") for i in range(50)]
-        K.append_new(frame(spark, rows), path)
+        K.append_new(frame(spark, rows), path, index_from=0)
     idindex.refresh(spark, path)
     fresh = spark.createDataFrame([(f"D8-{i}",) for i in range(50)], "transaction_id string")
     assert idindex.may_hold(spark, path, fresh) == [] and idindex.held(spark, path, fresh).count() == 0
@@ -84,17 +84,17 @@ def test_appending_a_day_reads_no_other(spark):
 
 def test_erasure_forgets_the_customers(spark):
     path, rows = new_folder(spark, "forget"), rows_of(400, 6, 4)
-    K.append_new(frame(spark, rows), path)
-    K.append_new(frame(spark, rows_of(50, 9, 5, start=1000)), path, load="second")
+    K.append_new(frame(spark, rows), path, index_from=0)
+    K.append_new(frame(spark, rows_of(50, 9, 5, start=1000)), path, load="second", index_from=0)
     ids = spark.createDataFrame([("c1",), ("c2",), ("nobody",), (None,)], "customer_id string")
     before = [r for r in spark.read.parquet(path).collect()]
-    K.erase_customers(spark, path, ids)
+    K.erase_customers(spark, path, ids, index_from=0)
     assert sorted(map(str, (r for r in before if r["customer_id"] not in ("c1", "c2")))) == sorted(map(str, spark.read.schema(spark.read.parquet(path).schema).parquet(path).collect()))
-    assert K.erase_customers(spark, path, ids) == []
+    assert K.erase_customers(spark, path, ids, index_from=0) == []
     for key in ("customer_id", "transaction_id"):
         held = {r["file"] for r in spark.read.parquet(idindex.index_path(path, key)).collect()}
         assert held <= set(data_sizes(spark, path))
-    K.append_new(frame(spark, rows), path)  # the first load's come again
+    K.append_new(frame(spark, rows), path, index_from=0)  # the first load's come again
     gone = sum(r["customer_id"] in ("c1", "c2") and r["load"] == "second" for r in before)
     assert spark.read.parquet(path).count() == len(before) - gone
 
