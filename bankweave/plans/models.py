@@ -6,7 +6,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from bankweave.functions.columns import BLOCK_ABOVE
 from bankweave.operators import aggregates as A
+from bankweave.operators import explain as E
 from bankweave.operators import predict as P
 from bankweave.operators import tables as K
 from bankweave.plans.registry import query, sql
@@ -80,3 +82,19 @@ def m9(spark, sf):
 def r14(spark, sf):
     scored = flows.model_stream(tx_stream(spark, sf), fitted(spark, sf)[0])
     return flows.run_to_table(scored.select("transaction_id", "is_fraud", "fraud_score", "status"), "model-scores")
+
+
+@query("m7_contributions", sql("tx", "SELECT transaction_id, TRUE AS adds_up FROM tx"))
+def m7_contributions(spark, sf):
+    """What the features contribute, and the base, add up to the raw score of every transaction."""
+    rows = E.contributions(fitted(spark, sf)[0], fx.tx(spark, sf))
+    total = F.aggregate("contributions", F.col("base"), lambda a, c: a + c)
+    return rows.select("transaction_id", (F.abs(total - F.col("raw")) < 1e-9).alias("adds_up"))
+
+
+@query("m7_reasons")
+def m7_reasons(spark, sf):
+    """The three features that raised the score most, of every transaction that the model blocks."""
+    rows = E.contributions(fitted(spark, sf)[0], fx.tx(spark, sf)).withColumn("fraud_score", vector_to_array("probability")[1])
+    blocked = E.reasons(rows.filter(F.col("fraud_score") > BLOCK_ABOVE))
+    return blocked.select("transaction_id", "fraud_score", F.to_json("reasons").alias("reasons"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from datetime import datetime, timedelta
 
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ts_lit
 from bankweave.operators import aggregates, predict, validate, windows
 from bankweave.operators.tables import INDEX_FROM, append_new, check_existing, write_transactions
-from bankweave.session import delete_path, new_folder, partition_values
+from bankweave.session import delete_path, new_folder, partition_values, write_text
 
 TS = "transaction_timestamp"
 # Writing order of the sinks: the profile serves the next score, the cache the callers,
@@ -153,6 +154,32 @@ def start_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "up
     return _go(writer.foreachBatch(lambda df, n: _write_batch(df, path, n)), available_now)
 
 
+ACCOUNT = "account"
+
+
+def accounted(stream: DataFrame) -> DataFrame:
+    """The stream, counted as it enters: ``store_account`` finds the count in the query's progress."""
+    return stream.observe(ACCOUNT, F.count(F.lit(1)).alias("rows_in"))
+
+
+def store_account(spark: SparkSession, query: StreamingQuery, folder: str) -> None:
+    """Keep what the query's progress says of its recent micro-batches; a batch told twice is kept once.
+
+    A stream that never ends is asked now and then: Spark remembers the last 100 batches (spark.sql.streaming.numRecentProgressUpdates).
+    """
+    for p in query.recentProgress:
+        seen = (p.observedMetrics or {}).get(ACCOUNT)
+        rows = {"batch_id": p.batchId, "rows_in": int(seen["rows_in"]) if seen else 0, "watermark": (p.eventTime or {}).get("watermark"),
+                "dropped_groups": sum(o.numRowsDroppedByWatermark for o in p.stateOperators)}
+        if rows["rows_in"] or rows["dropped_groups"]:
+            write_text(spark, f"{folder}/batch-{p.batchId}.json", json.dumps(rows))
+
+
+def account(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored account: rows in, watermark and dropped groups of state (a group may stand for several rows) by micro-batch."""
+    return spark.read.schema("batch_id bigint, rows_in bigint, watermark string, dropped_groups bigint").json(folder)
+
+
 def newest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Current value per key out of the updates of all micro-batches."""
     values = [c for c in updates.columns if c not in keys and c != "batch_id"]

@@ -44,3 +44,35 @@ def test_regression_forecast_covers_every_bank_and_day(spark, sf_dir):
     daily = daily_liquidity(fx.tx(spark, sf_dir))
     rows = P.regression_forecast(daily, "2024-01-30", 3, fx.HOLIDAYS)
     assert rows.count() == 3 * daily.select("bank_entity").distinct().count()
+
+
+def test_contributions_against_a_walk_by_hand(spark, sf_dir):
+    """A small forest walked node by node; the area under the curve by rank sums, from the scores that the walk gives."""
+    import math
+
+    from bankweave.operators import explain
+
+    tx = fx.tx(spark, sf_dir)
+    model, auc, _ = P.train_fraud_model(tx, maxIter=4, maxDepth=3)
+    rows = explain.reasons(explain.contributions(model, tx)).collect()
+    features = {r["transaction_id"]: r["features"].toArray() for r in model.transform(P.fraud_features(tx)).select("transaction_id", "features").collect()}
+    trees = explain.tree_table(spark, model)
+    base = sum(w * nodes[0][0] for w, nodes in trees)
+    raw = {}
+    for r in rows:
+        x, own = features[r["transaction_id"]], [0.0] * len(P.FEATURES)
+        for w, nodes in trees:
+            at = 0
+            while nodes[at][1] >= 0:
+                value, left, right, f, split, categories = nodes[at]
+                at = left if (x[f] in split if categories >= 0 else x[f] <= split[0]) else right
+                own[f] += w * (nodes[at][0] - value)
+        assert all(math.isclose(a, b, abs_tol=1e-12) for a, b in zip(own, r["contributions"])) and math.isclose(r["base"], base)
+        assert math.isclose(base + sum(own), r["raw"], abs_tol=1e-9)
+        want = sorted((-c, f) for f, c in zip(P.FEATURES, own) if c > 0)[:3]
+        assert [x["feature"] for x in r["reasons"]] == [f for _, f in want]
+        raw[r["transaction_id"]] = base + sum(own)
+    test = [(raw[r["transaction_id"]], r["is_fraud"]) for r in P.split(P.fraud_features(tx))[1].select("transaction_id", "is_fraud").collect()]
+    good, bad = [s for s, y in test if y], [s for s, y in test if not y]
+    by_rank = sum((a > b) + (a == b) / 2 for a in good for b in bad) / len(good) / len(bad)
+    assert math.isclose(by_rank, auc, abs_tol=1e-9)
