@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankweave.operators.predict import FEATURES
-from bankweave.session import new_folder
+from bankweave.session import new_folder, stage
 
 
 def tree_table(spark, model: PipelineModel) -> list[tuple[float, dict[int, tuple]]]:
@@ -51,7 +51,8 @@ def contributions(model: PipelineModel, tx: DataFrame) -> DataFrame:
         for n in sorted(nodes):
             value, left, right, feature, split, categories = nodes[n]
             flat.append((weight * value, place.get((t, left), -1), place.get((t, right), -1), feature, categories >= 0, split))
-    held = spark.createDataFrame([(flat,)], "nodes array<struct<value:double,left:int,right:int,feature:int,kinds:boolean,split:array<double>>>")
+    # Stored, so that Spark knows how small the model is.
+    held = stage(spark.createDataFrame([(flat, 1)], "_nodes array<struct<value:double,left:int,right:int,feature:int,kinds:boolean,split:array<double>>>, _one int"), "nodes")
     roots = F.array(*[F.lit(place[t, 0]) for t in range(len(trees))])
     depth = max(_depth(nodes, 0) for _, nodes in trees)
     node = lambda i: F.get(F.col("_nodes"), i)
@@ -70,7 +71,7 @@ def contributions(model: PipelineModel, tx: DataFrame) -> DataFrame:
     own = [F.aggregate(F.filter("_steps", lambda s: s["feature"] == i), F.lit(0.0), lambda a, s: a + s["change"]) for i in range(len(FEATURES))]
     base = sum(w * nodes[0][0] for w, nodes in trees)
     # One row, the model, beside every transaction.
-    rows = scored.withColumn("_one", F.lit(1)).join(F.broadcast(held.select(F.col("nodes").alias("_nodes"), F.lit(1).alias("_one"))), "_one")
+    rows = scored.withColumn("_one", F.lit(1)).join(held, "_one")
     return rows.withColumn("_steps", steps).withColumns({"base": F.lit(float(base)), "contributions": F.array(*own)}).select(*tx.columns, "probability", "base", "raw", "contributions")
 
 

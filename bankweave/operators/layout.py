@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bankweave.operators.idindex import file_name
 from bankweave.operators.tables import CLUSTER, COLD_DAYS, NO_VALUE, PARTS, _as_date
-from bankweave.session import data_sizes, delete_path, move_path, partition_values, path_exists, read_text, write_text
+from bankweave.session import data_sizes, delete_path, move_path, partition_values, path_exists, read_text, stage, write_text
 
 TARGET = 128 << 20
 MERGED = "merged"
@@ -72,10 +72,10 @@ def compact(spark: SparkSession, table: str, target: int = TARGET, skip_loads: t
     if not plan:
         return {}
     # Names of files and their folders, as many as there are small files.
-    bins = spark.createDataFrame([(n, folder.partition("/")[2].partition("=")[2]) for folder, names in plan.items() for n in names], "_file string, _bin string")
+    bins = stage(spark.createDataFrame([(n, folder.partition("/")[2].partition("=")[2]) for folder, names in plan.items() for n in names], "_file string, _bin string"), "bins")
     schema = spark.read.parquet(table).schema
     rows = spark.read.schema(schema).option("basePath", table).parquet(*[f"{table}/{n}" for names in plan.values() for n in names])
-    rows = rows.withColumn("_file", file_name()).join(F.broadcast(bins), "_file").drop("_file", PARTS[1]).withColumnRenamed("_bin", PARTS[1])
+    rows = rows.withColumn("_file", file_name()).join(bins, "_file").drop("_file", PARTS[1]).withColumnRenamed("_bin", PARTS[1])
     out = rows.repartition(len(plan), *PARTS).sortWithinPartitions(*PARTS, *[c for c in CLUSTER if c in rows.columns])
     out.write.mode("overwrite").partitionBy(*PARTS).parquet(f"{aside}/out")
     if stop_after == "write":
