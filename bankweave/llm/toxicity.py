@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bankweave.llm.common import bound_batches, text_chunks
+from bankweave.session import stage
 
 BITS = 22
 GAPS = (1, 2, 3)  # a word and the next one, and pairs that skip one or two words
@@ -116,15 +117,15 @@ def _sigmoid(x: float) -> float:
 def sample(docs: DataFrame, labels: DataFrame, learn: Column | None, most: int, doc: str, text: str, label: str) -> DataFrame:
     """``id``, ``text`` and ``label`` of about ``most`` labelled documents: those whose id hashes into the share that their number asks for.
 
-    An id counts once: with label 1 if any of its labels is 1, and with one of its texts.  The ids chosen are at most about ``most``
-    rows, so they are sent to the tasks and no text is shuffled but those chosen.
+    An id counts once: with label 1 if any of its labels is 1, and with one of its texts.  The ids chosen, at most about ``most``
+    rows, are stored, so that Spark knows their size, sends them to the tasks and shuffles no text but those chosen.
     """
     known = labels.filter((F.lit(True) if learn is None else learn) & F.col(doc).isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy(F.col(doc).alias("__id")).agg(F.max(label).cast("int").alias("__label"))
     share = most / max(most, known.count())
     place = (F.xxhash64("__id").cast("double") / 2.0**63 + 1) / 2
-    chosen = known.filter(place < share)
-    held = docs.select(F.col(doc).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    chosen = stage(known.filter(place < share), "toxicity-sample")
+    held = docs.select(F.col(doc).alias("__id"), F.col(text).alias("__text")).join(chosen, "__id")
     return held.groupBy(F.col("__id").alias("id")).agg(
         F.min_by("__text", F.xxhash64("__text")).alias("text"), F.max("__label").alias("label"))
 
