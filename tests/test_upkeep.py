@@ -252,3 +252,35 @@ def test_entries_are_renewed_and_evicted_and_survive_a_restart(spark):
     assert sizes[-1] < max(sizes)  # evicted entries leave the store
     changes = spark.read.parquet(f"{root}/changes")
     assert changes.filter("change = 'evict'").count() == 4 and changes.filter("transaction_id = 'late'").count() == 0
+
+
+def test_cache_needs_no_setting_of_the_session(spark):
+    """With Spark's default state store, which cannot hold an entry and its timer; the session's setting stays."""
+    from bankweave.session import STATE_STORE, setting
+
+    root, plain = new_folder(spark, "plain"), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with setting(spark, STATE_STORE, plain):
+        for rows, left in (([("a", "NEW", "2024-01-01 10:00:00.5"), ("b", "NEW", "2024-01-01 10:00:00.501")], ["a", "b"]), ([("c", "NEW", "2024-01-01 11:00:00.5")], ["b", "c"])):
+            entries(spark, rows).write.mode("append").parquet(f"{root}/in")
+            state.start_cache(files.read_stream(spark, f"{root}/in", entries(spark, []).schema, "parquet"), root).awaitTermination()
+            assert spark.conf.get(STATE_STORE) == plain
+            assert sorted(r["transaction_id"] for r in state.alive(spark, root).collect()) == left
+            assert sorted(r["transaction_id"] for r in state.held(spark, root).collect()) == left
+
+
+def test_keys_of_one_bucket_are_put_renewed_and_evicted_alone(spark, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 1)
+    root = new_folder(spark, "bucket")
+    parts = [
+        ([("a", "NEW", "2024-01-01 10:00:00"), ("a", "OLD", "2024-01-01 09:59:00"), ("b", "NEW", "2024-01-01 10:20:00")], {"a": "NEW", "b": "NEW"}),
+        ([("a", "RENEWED", "2024-01-01 10:50:00"), ("b", "OLD", "2024-01-01 10:10:00"), ("c", "NEW", "2024-01-01 11:20:00")], {"a": "RENEWED", "c": "NEW"}),
+        ([("d", None, "2024-01-01 11:50:00.000001")], {"c": "NEW", "d": None}),
+    ]
+    for rows, left in parts:
+        entries(spark, rows).write.mode("append").parquet(f"{root}/in")
+        state.start_cache(files.read_stream(spark, f"{root}/in", entries(spark, []).schema, "parquet"), root).awaitTermination()
+        for read in (state.alive, state.held):
+            assert {r["transaction_id"]: r["status"] for r in read(spark, root).collect()} == left
+    changes = spark.read.parquet(f"{root}/changes")
+    assert sorted((r["change"], r["transaction_id"], r["status"]) for r in changes.filter("transaction_id <> 'd'").collect()) == [
+        ("evict", "a", "RENEWED"), ("evict", "b", "NEW"), ("put", "a", "NEW"), ("put", "a", "RENEWED"), ("put", "b", "NEW"), ("put", "c", "NEW")]
