@@ -106,8 +106,10 @@ def may_hold(spark: SparkSession, table: str, ids: DataFrame, key: str = "transa
     asked = (
         ids.withColumn("bitmaps", F.explode(F.array(*[F.lit(s).cast("long") for s in sorted(sizes)]))).withColumn("_slot", F.pmod("_h", slots))
         .groupBy("bitmaps", "_slot", F.pmod(F.xxhash64("_places"), lists).alias("_list")).agg(F.collect_list("_places").alias("_asked")))
-    # A small filter's bitmaps are offered to every slot that leads to them.
-    offered = cells.withColumn("_slot", F.explode(F.sequence(F.col("bitmap"), slots - 1, F.col("bitmaps")))).select("file", "bitmaps", "_slot", "bits")
+    # A small filter's bitmaps are offered to every slot that leads to them.  They are dealt out first: an index of few files would
+    # otherwise be asked by as few tasks.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    offered = cells.repartition(tasks, "file", "bitmaps", "bitmap").withColumn("_slot", F.explode(F.sequence(F.col("bitmap"), slots - 1, F.col("bitmaps")))).select("file", "bitmaps", "_slot", "bits")
     met = asked.join(offered, ["bitmaps", "_slot"]).filter(F.exists("_asked", lambda places: F.forall(places, lambda p: _holds(F.col("bits"), p))))
     hit = {r["file"] for r in met.select("file").distinct().collect()}  # names of files, not rows
     return sorted(f"{table}/{f}" for f in hit & files.keys())

@@ -5,7 +5,8 @@ would pull a whole key into one task.  Each helper here first shrinks or slices
 
 * ``latest_by``     partial aggregation instead of ``row_number``;
 * ``asof_last``     slices a key by time slot and salt, carrying the last value into each slice;
-* ``percent_rank``  slices a key by value range and adds the count of all lower slices.
+* ``percent_rank``  slices a key by value range and adds the count of all lower slices;
+* ``spread``        deals rows out that a few large files would leave to a few tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,22 @@ from pyspark.sql import functions as F
 from bankweave.functions import epoch_slot
 
 
+# Rows that a task should have at most where each costs much.
+TASK_ROWS = 500_000
+
+
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` over so many tasks that each has about ``rows`` rows, if one of its own would have more.
+
+    A row group is read by one task, however large it is, and what follows would stay there.  Rows go by a hash of all their
+    columns, so a task that is repeated deals them alike.  Counting them reads the columns that ``df`` is filtered by.
+    """
+    rows = rows or TASK_ROWS
+    n = F.count(F.lit(1)).alias("n")
+    most, total = df.groupBy(F.spark_partition_id().alias("task")).agg(n).agg(F.max("n"), F.sum("n")).first()
+    return df.repartition(-(-total // rows), *df.columns) if most and most > rows else df
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[str], first: bool = False) -> DataFrame:
     """Whole row with the greatest (or least) ``order`` per key, combined map-side before the shuffle."""
     pick = F.min_by if first else F.max_by

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankweave.functions import decide, hash_score, money
+from bankweave.operators.scale import spread
 from bankweave.session import new_folder, path_exists
 from bankweave.sources.generate import calendar_of
 
@@ -67,7 +68,16 @@ def all_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid transactions."""
-    return from_events(table(spark, sf_dir, "events").filter(F.col("event_type") != "error"))
+    return from_events(_valid(spark, sf_dir))
+
+
+def tx_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid transactions, over as many tasks as their number asks for, whatever row groups the table has."""
+    return from_events(spread(_valid(spark, sf_dir)))
+
+
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
 
 
 def tx_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +212,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tx_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> list[DataFrame]:
     """Valid transactions by time of the month, newest first; undated ones are with the oldest."""
-    rows = tx(spark, sf_dir)
+    rows = tx_spread(spark, sf_dir)
     part = F.coalesce((F.dayofmonth("transaction_timestamp") * parts / 32).cast("int"), F.lit(0))
     return [rows.filter(part == n) for n in range(parts - 1, -1, -1)]
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from bankweave.functions import cache_key, epoch_slot, last_txn_key, money, ts_lit
 from bankweave.operators import aggregates, predict, validate, windows
 from bankweave.operators.tables import INDEX_FROM, append_new, check_existing, write_transactions
-from bankweave.session import delete_path, new_folder, partition_values, write_text
+from bankweave.session import adaptive, delete_path, new_folder, partition_values, write_text
 
 TS = "transaction_timestamp"
 # Writing order of the sinks: the profile serves the next score, the cache the callers,
@@ -233,7 +233,8 @@ def start_multi_sink(stream: DataFrame, root: str, sinks: Iterable[str] = SINKS,
             if "cache" in chosen:
                 _write_cache(df, f"{root}/cache", batch_id)
             if "warehouse" in chosen:
-                write_transactions(df, f"{root}/warehouse", "overwrite", f"stream-{batch_id}")
+                with adaptive(df.sparkSession):
+                    write_transactions(df, f"{root}/warehouse", "overwrite", f"stream-{batch_id}")
             if "distribution" in chosen:
                 _write_batch(_messages(statuses)(df), f"{root}/distribution", batch_id, ["bank_entity"])
         finally:
@@ -249,7 +250,8 @@ def start_settled(stream: DataFrame, path: str, checkpoint: str, horizon: str =
     once = dedup_within(stream.withColumn("arrived_at", F.current_timestamp()), horizon).drop("arrived_at")
 
     def write(df: DataFrame, batch_id: int) -> None:
-        append_new(df, path, load=f"stream-{batch_id}", index_from=index_from)
+        with adaptive(df.sparkSession):
+            append_new(df, path, load=f"stream-{batch_id}", index_from=index_from)
 
     return _go(once.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
 

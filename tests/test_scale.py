@@ -170,3 +170,13 @@ def test_velocity_keeps_all_decimals(spark):
     tx = spark.createDataFrame(rows, "customer_id string, t string, amount double").selectExpr("customer_id", "CAST(t AS TIMESTAMP) AS transaction_timestamp", "amount")
     got = [r["amount_in_window"] for r in windows.velocity(tx).orderBy("transaction_timestamp").collect()]
     assert got == [23.123456, 46.246912, 69.370368, 0.000000001]
+
+
+def test_rows_of_one_large_row_group_are_dealt_out(spark):
+    from bankweave.operators import scale
+
+    rows = spark.range(0, 4000, 1, 1).select((F.col("id") % 1000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("v"))
+    dealt = scale.spread(rows, 500)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 700 and dealt.exceptAll(rows).count() == rows.exceptAll(dealt).count() == 0
+    assert scale.spread(rows, 4000) is rows and scale.spread(rows.limit(0), 500).count() == 0

@@ -100,3 +100,16 @@ def test_subscriber_goes_on_where_it_stopped(spark, sf_dir):
         flows.wait(flows.start_subscriber(spark, root, bank, f"{root}/out", f"{root}/progress"))
     got = spark.read.parquet(f"{root}/out")
     assert got.count() == got.select("transaction_id").distinct().count() == fx.tx(spark, sf_dir).filter(F.col("bank_entity") == bank).count()
+
+
+def test_a_micro_batch_writes_one_file_for_a_small_day(spark, sf_dir):
+    """Adaptive execution is off in a stream's session, and without it every shuffle partition writes into every day."""
+    from bankweave.session import data_sizes
+
+    days = fx.tx(spark, sf_dir).select(F.to_date("transaction_timestamp")).distinct().count()
+    for name, run in (("settled", lambda s, root: flows.start_settled(s, f"{root}/warehouse", f"{root}/c", index_from=0)),
+                      ("sinks", lambda s, root: flows.start_multi_sink(flows.dedup(s), root, sinks=("warehouse",)))):
+        root = new_folder(spark, name)
+        flows.wait(run(streams.tx_stream(spark, sf_dir), root))
+        assert len(data_sizes(spark, f"{root}/warehouse")) == days
+        assert spark.read.parquet(f"{root}/warehouse").count() == fx.tx(spark, sf_dir).count()
