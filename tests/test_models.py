@@ -76,3 +76,27 @@ def test_contributions_against_a_walk_by_hand(spark, sf_dir):
     good, bad = [s for s, y in test if y], [s for s, y in test if not y]
     by_rank = sum((a > b) + (a == b) / 2 for a in good for b in bad) / len(good) / len(bad)
     assert math.isclose(by_rank, auc, abs_tol=1e-9)
+
+
+def test_a_row_costs_few_steps_to_explain(spark, sf_dir):
+    """No array of nodes beside every row, and no walk in expressions: the model gives the leaves."""
+    from bankweave.operators import explain
+
+    tx = fx.tx(spark, sf_dir)
+    model, _, _ = P.train_fraud_model(tx, maxIter=2, maxDepth=2)
+    rows = explain.contributions(model, tx)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in text and "_nodes" not in text and "aggregate(" not in text
+    assert rows.columns == [*tx.columns, "probability", "base", "raw", "contributions"]
+    assert rows.filter("abs(aggregate(contributions, base, (a, c) -> a + c) - raw) > 1e-9 OR size(contributions) <> 7").count() == 0
+
+
+def test_training_is_dealt_out_over_tasks(spark, sf_dir, monkeypatch):
+    """Rows of one row group, of which a task would have too many."""
+    from bankweave.operators import scale
+
+    monkeypatch.setattr(scale, "TASK_ROWS", 100)
+    spread = fx.tx_spread(spark, sf_dir)
+    tasks = spread.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 200
+    assert spread.exceptAll(fx.tx(spark, sf_dir)).count() == 0 and spread.count() == fx.tx(spark, sf_dir).count()
