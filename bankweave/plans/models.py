@@ -23,7 +23,7 @@ _FITTED: dict[tuple[str, str], tuple[str, float, dict]] = {}
 def fitted(spark, sf) -> tuple[PipelineModel, float, dict]:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        model, auc, counts = P.train_fraud_model(fx.tx(spark, sf))
+        model, auc, counts = P.train_fraud_model(fx.tx_spread(spark, sf))
         _FITTED[key] = (K.save_model(model, new_folder(spark, "lake"), fx.AS_OF), auc, counts)
     path, auc, counts = _FITTED[key]
     return PipelineModel.load(path), auc, counts
@@ -70,7 +70,7 @@ def m7(spark, sf):
 
 @query("m8_model_scores")
 def m8(spark, sf):
-    return P.model_scores(fitted(spark, sf)[0], fx.tx(spark, sf)).select("transaction_id", "is_fraud", "fraud_score", "status")
+    return P.model_scores(fitted(spark, sf)[0], fx.tx_spread(spark, sf)).select("transaction_id", "is_fraud", "fraud_score", "status")
 
 
 @query("m9_regression_forecast")
@@ -87,7 +87,7 @@ def r14(spark, sf):
 @query("m7_contributions", sql("tx", "SELECT transaction_id, TRUE AS adds_up FROM tx"))
 def m7_contributions(spark, sf):
     """What the features contribute, and the base, add up to the raw score of every transaction."""
-    rows = E.contributions(fitted(spark, sf)[0], fx.tx(spark, sf))
+    rows = E.contributions(fitted(spark, sf)[0], fx.tx_spread(spark, sf))
     total = F.aggregate("contributions", F.col("base"), lambda a, c: a + c)
     return rows.select("transaction_id", (F.abs(total - F.col("raw")) < 1e-9).alias("adds_up"))
 
@@ -95,6 +95,6 @@ def m7_contributions(spark, sf):
 @query("m7_reasons")
 def m7_reasons(spark, sf):
     """The three features that raised the score most, of every transaction that the model blocks."""
-    rows = E.contributions(fitted(spark, sf)[0], fx.tx(spark, sf)).withColumn("fraud_score", vector_to_array("probability")[1])
+    rows = E.contributions(fitted(spark, sf)[0], fx.tx_spread(spark, sf)).withColumn("fraud_score", vector_to_array("probability")[1])
     blocked = E.reasons(rows.filter(F.col("fraud_score") > BLOCK_ABOVE))
     return blocked.select("transaction_id", "fraud_score", F.to_json("reasons").alias("reasons"))
